@@ -14,8 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 @functools.cache
-def _local_folder(application_id: str) -> str:
-    return tempfile.mkdtemp(prefix=f"basketseq-{application_id}-")
+def _local_folder(application_id: str) -> tempfile.TemporaryDirectory:
+    """Lives as long as the Python process."""
+    return tempfile.TemporaryDirectory(
+        prefix=f"basketseq-{application_id}-", ignore_cleanup_errors=True
+    )
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -24,7 +27,7 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return _local_folder(spark.sparkContext.applicationId)
+    return _local_folder(spark.sparkContext.applicationId).name
 
 
 def new_folder(spark: SparkSession, label: str) -> str:

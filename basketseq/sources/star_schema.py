@@ -76,3 +76,27 @@ def star_schema_tables(spark: SparkSession, folder) -> SourceTables:
         prior=items.where(F.col("eval_set") == "prior").select(columns),
         train=items.where(F.col("eval_set") == "train").select(columns),
     )
+
+
+def aisles_model(products: DataFrame) -> DataFrame:
+    return products.select(
+        "aisle_id", F.concat(F.lit("aisle "), F.col("aisle_id").cast("string")).alias("aisle")
+    ).distinct()
+
+
+def departments_model(products: DataFrame) -> DataFrame:
+    return products.select(
+        "department_id",
+        F.concat(F.lit("department "), F.col("department_id").cast("string")).alias("department"),
+    ).distinct()
+
+
+def products_with_mixed_aisles(spark: SparkSession, folder) -> DataFrame:
+    """Products whose department follows the part type, so that one aisle
+    belongs to several departments."""
+    department = (F.ascii("p_type") % 5 + 1).alias("department_id")
+    return (
+        read_parquet(spark, child(folder, "part.parquet"))
+        .select((F.col("p_partkey") + 1).alias("product_id"), department)
+        .join(products_model(spark, folder).drop("department_id"), "product_id")
+    )
