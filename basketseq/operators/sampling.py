@@ -65,11 +65,11 @@ def sample_users(orders: DataFrame, sample_n: int, seed: int) -> DataFrame:
 
 
 def orders_of_users(orders: DataFrame, users: DataFrame) -> DataFrame:
-    return orders.join(users, "user_id", "left_semi")
+    return orders.join(users, "user_id", "left_semi").select(orders.columns)
 
 
 def items_of_orders(items: DataFrame, orders: DataFrame) -> DataFrame:
-    return items.join(orders, "order_id", "left_semi")
+    return items.join(orders, "order_id", "left_semi").select(items.columns)
 
 
 def sample_dataset(

@@ -1,0 +1,78 @@
+import pytest
+
+from basketseq import schemas
+from basketseq.operators import diagnostics, sampling
+from basketseq.sources import files
+from tests.brute import random_source
+from tests.test_sources import write_source_csv
+
+
+@pytest.fixture
+def orders(spark):
+    return spark.createDataFrame(random_source(6, n_users=30)["orders"], schemas.ORDERS)
+
+
+@pytest.mark.parametrize("top_n_limit", [sampling.TOP_N_LIMIT, 0])
+def test_sample_is_exact_unique_and_repeatable(orders, monkeypatch, top_n_limit):
+    first = {r[0] for r in sampling.sample_users(orders, 9, 3).collect()}
+    monkeypatch.setattr(sampling, "TOP_N_LIMIT", top_n_limit)
+    again = [r[0] for r in sampling.sample_users(orders.repartition(7), 9, 3).collect()]
+    assert len(again) == 9 and set(again) == first
+    assert {r[0] for r in sampling.sample_users(orders, 9, 4).collect()} != first
+    assert sampling.sample_users(orders, 30, 3).count() == 30
+
+
+def test_too_many_users_raise(orders):
+    with pytest.raises(ValueError, match="sample_n=31 is greater than number of unique users available: 30"):
+        sampling.check_user_count(orders, 31)
+    sampling.check_user_count(orders, 30)
+
+
+def test_missing_tables_raise(spark, tmp_path):
+    write_source_csv(spark, random_source(6), tmp_path / "raw")
+    sampling.check_inputs(spark, tmp_path / "raw", 2)
+    (tmp_path / "empty").mkdir()
+    with pytest.raises(FileNotFoundError, match="aisles departments order_products__prior"):
+        sampling.check_inputs(spark, tmp_path / "empty", 2)
+
+
+def test_sampled_dataset_is_closed(spark, tmp_path, rows):
+    source = random_source(6)
+    write_source_csv(spark, source, tmp_path / "raw")
+    sampling.sample_dataset(spark, tmp_path / "raw", tmp_path / "out", 3, 1)
+
+    def table(name):
+        return files.read_csv(spark, tmp_path / "out" / f"{name}.csv", schemas.SOURCE_TABLES[name])
+
+    users = {r["user_id"] for r in table("orders").collect()}
+    assert len(users) == 3
+    kept = {r[0] for r in source["orders"] if r[1] in users}
+    assert {r["order_id"] for r in table("orders").collect()} == kept
+    for name, part in [("order_products__prior", "prior"), ("order_products__train", "train")]:
+        assert sorted(tuple(r) for r in table(name).collect()) == sorted(
+            r for r in source[part] if r[0] in kept
+        )
+    assert table("products").count() == len(source["products"])
+    assert table("departments").first()["department"] == "d, with comma"
+
+
+def test_empty_sample_keeps_the_header(spark, tmp_path):
+    items = spark.createDataFrame([("1", "2", "3", "0")], ["order_id", "product_id", "add_to_cart_order", "reordered"])
+    nothing = spark.createDataFrame([], "order_id string")
+    files.write_csv(sampling.items_of_orders(items, nothing), tmp_path / "items.csv")
+    back = sampling.read_raw(spark, tmp_path / "items.csv")
+    assert back.columns == items.columns
+    assert back.count() == 0
+
+
+def test_partition_layout(spark, rows):
+    df = spark.range(10, numPartitions=4).where("id < 5 or id > 7")
+    spread = diagnostics.partition_distribution(df)
+    assert sum(r["row_count"] for r in spread.collect()) == 7
+    sparse = spark.range(8, numPartitions=4).where("id >= 4")
+    assert rows(diagnostics.partition_distribution(sparse)) == [
+        {"partition_id": 2, "row_count": 2},
+        {"partition_id": 3, "row_count": 2},
+    ]
+    assert tuple(diagnostics.partition_summary(sparse).first()) == (4, 4, 2, 0)
+    assert tuple(diagnostics.partition_summary(spark.range(8, numPartitions=4)).first()) == (4, 8, 2, 2)

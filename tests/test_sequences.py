@@ -1,0 +1,104 @@
+import pytest
+from pyspark.sql import functions as F
+
+from basketseq.functions.sequences import (
+    before_last,
+    encode_flat,
+    encode_nested,
+    pad,
+    padded_length,
+    parse_flat,
+    parse_nested,
+    scatter,
+)
+from basketseq.operators.parsing import parse_aisles, parse_orders
+
+
+@pytest.mark.parametrize(
+    ("text", "expected"),
+    [
+        ("8 6 7", [8, 6, 7]),
+        ("  3   14 ", [3, 14]),
+        ("-1 2\t9", [-1, 2, 9]),
+        ("", []),
+        ("   ", []),
+        (None, []),
+        ("5 x 6", [5, None, 6]),
+    ],
+)
+def test_parse_flat(spark, text, expected):
+    df = spark.createDataFrame([(text,)], "t STRING")
+    assert df.select(parse_flat(F.col("t"))).first()[0] == expected
+
+
+def test_parse_flat_other_separator_and_type(spark):
+    df = spark.createDataFrame([("1_0_3000000000",)], "t STRING")
+    row = df.select(parse_flat(F.col("t"), "_", "bigint"), parse_flat(F.col("t"), "_")).first()
+    assert row[0] == [1, 0, 3000000000]
+    assert row[1] == [1, 0, None]
+
+
+def test_nested_round_trip(spark):
+    df = spark.createDataFrame([("7_3 3 9_9_1",)], "t STRING")
+    parsed = df.select(parse_nested(F.col("t")).alias("a"))
+    assert parsed.first()["a"] == [[7, 3], [3], [9, 9, 1]]
+    assert parsed.select(encode_nested(F.col("a"))).first()[0] == "7_3 3 9_9_1"
+
+
+def test_encode_leaves_out_nulls(spark):
+    df = spark.createDataFrame([([4, None, 6], [[1, None], [None]])], "f array<int>, n array<array<int>>")
+    row = df.select(encode_flat(F.col("f")), encode_nested(F.col("n"))).first()
+    assert tuple(row) == ("4 6", "1 ")
+
+
+@pytest.mark.parametrize(
+    ("values", "expected", "length"),
+    [
+        ([9, 8], [9, 8, 0, 0], 2),
+        ([9, 8, 7, 6], [9, 8, 7, 6], 4),
+        ([9, 8, 7, 6, 5, 4], [9, 8, 7, 6], 4),
+        ([], [0, 0, 0, 0], 0),
+    ],
+)
+def test_pad_keeps_the_first(spark, values, expected, length):
+    df = spark.createDataFrame([(values,)], "v array<int>")
+    row = df.select(pad(F.col("v"), 4), padded_length(F.col("v"), 4)).first()
+    assert tuple(row) == (expected, length)
+
+
+def test_scatter(spark):
+    df = spark.createDataFrame(
+        [([(2, 5), (4, 1)], 5), ([], 3), ([(1, 7)], 1), ([], 0)],
+        "v array<struct<idx:int,x:int>>, n int",
+    )
+    got = df.select(scatter(F.col("v"), F.col("n"), lambda visit: visit["x"]).alias("a")).collect()
+    assert [r["a"] for r in got] == [[0, 5, 0, 1, 0], [0, 0, 0], [7], []]
+
+
+def test_before_last(spark):
+    df = spark.createDataFrame([([1, 2, 3],), ([1],), ([],), (None,)], "v array<int>")
+    assert [r[0] for r in df.select(before_last(F.col("v"))).collect()] == [[1, 2], [], [], None]
+
+
+def test_parse_orders(spark):
+    df = spark.createDataFrame(
+        [(1, "6_2 2_8_2 4_6"), (2, "5"), (3, None), (4, "1_a 2")], "user_id int, ids string"
+    )
+    got = {r["user_id"]: r for r in parse_orders(df, "ids", "p", with_sets=True).collect()}
+    assert got[1]["p_raw"] == ["6_2", "2_8_2", "4_6"]
+    assert got[1]["p_prev"] == ["6_2", "2_8_2"]
+    assert got[1]["p_all"] == [[6, 2], [2, 8, 2]]
+    assert (got[1]["next_p"], got[1]["next_p_int"]) == ("4_6", [4, 6])
+    assert (got[1]["p_set"], got[1]["next_p_set"]) == ([6, 2, 8], [4, 6])
+    assert (got[2]["p_prev"], got[2]["p_all"], got[2]["next_p_int"]) == ([], [], [5])
+    assert got[3]["p_all"] is None and got[3]["next_p"] is None
+    assert got[4]["p_all"] == [[1, None]]
+    assert "p_set" not in parse_orders(df, "ids", "p").columns
+
+
+def test_parse_aisles(spark):
+    df = spark.createDataFrame([(1, "4_9_4 9 2_2")], "user_id int, aisle_ids string")
+    row = parse_aisles(df).first()
+    assert row["aisle_all"] == [[4, 9, 4], [9]]
+    assert row["aisle_next"] == "2_2"
+    assert (row["aisle_set"], row["next_aisle_set"]) == ([4, 9], [2])
