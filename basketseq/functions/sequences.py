@@ -8,8 +8,6 @@ is not an integer becomes a null element, also under ANSI mode.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType
 
@@ -76,22 +74,19 @@ def padded_length(values: Column, length: int) -> Column:
     return F.least(F.coalesce(F.size(values), F.lit(0)), F.lit(length)).cast("int")
 
 
-def scatter(visits: Column, n_orders: Column, value: Callable[[Column], Column]) -> Column:
-    """Spread sparse visits over a dense array of ``n_orders`` elements.
+def scatter_sql(visits: str, n_orders: str, field: str) -> str:
+    """SQL that spreads sparse visits over a dense array of ``n_orders``.
 
-    ``visits`` is an array of structs with an ascending, unique, 1-based
+    ``visits`` names an array of structs with an ascending, unique, 1-based
     ``idx``. Orders without a visit hold 0. The work follows the number of
     visits: gaps come from ``array_repeat``, not from a loop over orders.
     """
-
-    def piece(visit: Column, k: Column) -> Column:
-        previous = F.coalesce(F.get(visits, k - 1)["idx"], F.lit(0))
-        gap = F.array_repeat(F.lit(0), visit["idx"] - previous - 1)
-        return F.concat(gap, F.array(value(visit).cast("int")))
-
-    last = F.coalesce(F.get(visits, F.size(visits) - 1)["idx"], F.lit(0))
-    return F.concat(
-        F.flatten(F.transform(visits, piece)), F.array_repeat(F.lit(0), n_orders - last)
+    before = f"coalesce(get({visits}, nth - 1).idx, 0)"
+    last = f"coalesce(get({visits}, size({visits}) - 1).idx, 0)"
+    piece = f"concat(array_repeat(0, one.idx - {before} - 1), array(int(one.{field})))"
+    return (
+        f"concat(flatten(transform({visits}, (one, nth) -> {piece})), "
+        f"array_repeat(0, {n_orders} - {last}))"
     )
 
 

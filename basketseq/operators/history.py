@@ -1,20 +1,21 @@
 """Purchase histories: one row per (user, product), (user, aisle) and "None".
 
 The last order of a sequence is the target, the orders before it are the
-history. Everything follows from the user's own row, so nothing is shuffled:
-the baskets become one sorted array of (key, order, ...) visits, runs of equal
-keys become the pairs, and each pair keeps only its own few visits, which
-``scatter`` spreads over the orders at the very end. Work per user is linear
-in the items (times a log) plus the output.
-
-A user with very many pairs times orders would write all of that from one
-task. Such users are cut into chunks of pairs, and the chunks are spread over
-the cluster before they are expanded.
+history. Every row follows from the user's own row, so users are not shuffled.
+
+* Usual users: their keys are exploded and each key is looked up in every past
+  basket, one native array search per order.
+* Large users, for whom keys times items would explode: the baskets become one
+  sorted array of (key, order, ...) visits, runs of equal keys become the
+  pairs, and ``scatter`` spreads a pair's few visits over the orders. That is
+  linear in the items (times a log). Their pairs are cut into chunks which are
+  spread over the cluster before they are expanded, so no task writes all rows
+  of a very active user.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -25,174 +26,192 @@ from basketseq.functions.sequences import (
     flag_sum,
     is_text,
     nested_column,
-    scatter,
+    scatter_sql,
 )
 
-# Output cells (pairs x orders) one task may expand for one user.
-CELLS_PER_TASK = 4_000_000
-
-
-def product_visits(baskets: Column) -> Column:
-    """(key, idx, position) per item; position is the index in the basket."""
-    return F.sort_array(
-        F.flatten(
-            F.transform(
-                baskets,
-                lambda basket, i: F.transform(
-                    basket,
-                    lambda key, k: F.struct(
-                        key.alias("key"), (i + 1).alias("idx"), (k + 1).alias("position")
-                    ),
-                ),
-            )
-        )
-    )
+# Users with more items than this take the path for large users.
+LARGE_USER_ITEMS = 4_000
+# Output cells (pairs x orders) of a large user one chunk of pairs may hold.
+CELLS_PER_CHUNK = 4_000_000
+
+
+# --- the two ways from users to pairs ---------------------------------------
+#
+# The array expressions are SQL text: one call to the JVM each, where column
+# functions would take one per sub-expression.
 
 
-def aisle_visits(baskets: Column) -> Column:
-    """(key, idx, position, items) per distinct aisle of an order.
+@dataclass(frozen=True)
+class PairKind:
+    """What makes a pair: its key, and its sequences in both forms.
 
-    Position is the rank by first appearance among the order's aisles.
+    ``looked_up`` holds SQL over ``past`` and ``key``, ``visits`` the (key,
+    idx, ...) structs of every past order, ``visited`` the visit fields to
+    spread. The first sequence is the position, 0 where the key is absent.
     """
-    return F.sort_array(
-        F.flatten(
-            F.transform(
-                baskets,
-                lambda basket, i: F.transform(
-                    F.array_distinct(basket),
-                    lambda key, k: F.struct(
-                        key.alias("key"),
-                        (i + 1).alias("idx"),
-                        (k + 1).alias("position"),
-                        (F.size(basket) - F.size(F.array_remove(basket, key))).alias("items"),
-                    ),
-                ),
-            )
-        )
+
+    sequence: str
+    looked_up: dict[str, str]
+    visits: str
+    visited: dict[str, str]
+
+
+PRODUCTS = PairKind(
+    sequence="product_ids",
+    # The index in the basket, of the first occurrence.
+    looked_up={
+        "position_in_order_history": "transform(past, b -> array_position(b, key))",
+    },
+    visits="""transform(past, (b, i) -> transform(b, (k, j) ->
+        named_struct('key', k, 'idx', i + 1, 'position', j + 1)))""",
+    visited={"position_in_order_history": "position"},
+)
+AISLES = PairKind(
+    sequence="aisle_ids",
+    # The rank by first appearance among the distinct aisles of the order.
+    looked_up={
+        "position_in_order": "transform(past, b -> array_position(array_distinct(b), key))",
+        "num_products_from_aisle": "transform(past, b -> size(b) - size(array_remove(b, key)))",
+    },
+    visits="""transform(past, (b, i) -> transform(array_distinct(b), (k, j) ->
+        named_struct('key', k, 'idx', i + 1, 'position', j + 1,
+                     'items', size(b) - size(array_remove(b, k)))))""",
+    visited={"position_in_order": "position", "num_products_from_aisle": "items"},
+)
+
+
+def _is_large(users: DataFrame, name: str) -> Column:
+    """Counts the items; stored text is not parsed for it."""
+    items = (
+        f"length({name}) - length(translate({name}, '_ ', '')) + 1"
+        if is_text(users, name)
+        else f"size(flatten({name}))"
+    )
+    return F.expr(f"coalesce({items} > {LARGE_USER_ITEMS}, false)")
+
+
+def _usual_pairs(users: DataFrame, carried: list[str], context: dict[str, Column]) -> DataFrame:
+    """``carried`` columns and ``key``, plus the baskets to look the key up in."""
+    order_of_item = "flatten(transform(past, (b, i) -> array_repeat(i + 1, size(b))))"
+    first_orders = "transform(keys, k -> get(order_of_item, int(array_position(items, k)) - 1))"
+    # The outer form: a plain explode lets the optimizer infer a filter on the
+    # keys and push it down with their whole expression copied into it.
+    return (
+        users.selectExpr("*", "flatten(past) AS items", f"{order_of_item} AS order_of_item")
+        .selectExpr("*", "array_distinct(items) AS keys")
+        .selectExpr("*", f"{first_orders} AS first_orders")
+        .withColumns(context)
+        .selectExpr(*carried, "past", "target", "explode_outer(keys) AS key")
+        .where("key IS NOT NULL")
     )
 
 
-def _with_pairs(users: DataFrame, visits: Column) -> DataFrame:
-    """Add ``pairs``, the sorted visits cut into one array per key, and
-    ``first_orders``, the order that brought in each key.
+def _large_pairs(
+    users: DataFrame, carried: list[str], context: dict[str, Column], visits: str
+) -> DataFrame:
+    """``carried`` columns, ``key``, ``n_history`` and the pair's ``visits``.
 
     Null keys sort first and equal the missing element before the first one,
     so they start no pair.
     """
-    at, begin = F.col("visits"), F.col("starts")
-    starts = F.filter(
-        F.sequence(F.lit(0), F.greatest(F.size(at) - 1, F.lit(0))),
-        lambda k: ~F.get(at, k)["key"].eqNullSafe(F.get(at, k - 1)["key"]),
-    )
-    pairs = F.transform(
-        begin,
-        lambda start, j: F.slice(
-            at, start + 1, F.coalesce(F.get(begin, j + 1), F.size(at)) - start
-        ),
-    )
+    starts = """filter(sequence(0, greatest(size(visits) - 1, 0)),
+        i -> NOT get(visits, i).key <=> get(visits, i - 1).key)"""
+    pairs = """transform(starts, (start, j) ->
+        slice(visits, start + 1, coalesce(get(starts, j + 1), size(visits)) - start))"""
+    chunks = """transform(sequence(1, greatest(size(pairs), 1), per_chunk),
+        first -> slice(pairs, first, per_chunk))"""
+    # An order may hold a key twice: its first visit counts.
+    first_visits = "filter(visits, (v, i) -> NOT v.idx <=> get(visits, i - 1).idx)"
+    passed_on = [*carried, "target", "n_history"]
     return (
-        users.withColumn("visits", visits)
-        .withColumn("starts", starts)
-        .withColumn("pairs", pairs)
-        .withColumn("first_orders", F.transform("pairs", lambda pair: F.get(pair, 0)["idx"]))
-        .drop("visits", "starts")
+        users.selectExpr(
+            "*",
+            "size(past) AS n_history",
+            f"sort_array(flatten({visits})) AS visits",
+            f"int(greatest(floor({CELLS_PER_CHUNK} / greatest(size(past), 1)), 1)) AS per_chunk",
+        )
+        .selectExpr("*", f"{starts} AS starts")
+        .selectExpr("*", f"{pairs} AS pairs")
+        .selectExpr("*", "transform(pairs, p -> get(p, 0).idx) AS first_orders")
+        .withColumns(context)
+        .selectExpr(*passed_on, f"posexplode_outer({chunks}) AS (chunk, pairs)")
+        .repartition("user_id", "chunk")
+        .selectExpr(*passed_on, "explode_outer(pairs) AS visits")
+        .where("size(visits) > 0")
+        .selectExpr(
+            *passed_on, "get(visits, 0).key AS key", f"{first_visits} AS visits"
+        )
     )
 
 
-def _explode_pairs(
+def _pairs(
     users: DataFrame,
-    sequence: str,
-    visits: Callable[[Column], Column],
+    kind: PairKind,
     keep: list[str],
     context: dict[str, Column],
     item_type: str,
+    as_text: bool,
 ) -> DataFrame:
-    """One row per user and key of the history, with the pair's ``visits``.
+    """One row per user and key of the history.
 
-    Carries the ``keep`` columns, ``n_history`` and the ``context`` columns,
-    which are computed once per user from ``baskets`` and ``first_orders``.
-    Pairs that occur in the target order only are dropped.
+    Holds the ``keep`` columns, ``context`` (computed once per user from
+    ``past`` and ``first_orders``), ``key``, ``in_target``,
+    ``is_ordered_history`` and the kind's sequences.
     """
-    is_large = _is_large(users, sequence)
-    carried = [*keep, "n_history", *[name for name in context if name not in keep]]
+    carried = [*keep, *[name for name in context if name not in keep]]
+    is_large = _is_large(users, kind.sequence)
+    baskets = nested_column(users, kind.sequence, item_type).alias("baskets")
+    apart = [
+        "slice(baskets, 1, greatest(size(baskets) - 1, 0)) AS past",
+        "try_element_at(baskets, -1) AS target",
+    ]
+
+    def parsed(some_users: DataFrame) -> DataFrame:
+        return some_users.select(*keep, baskets).selectExpr(*keep, *apart)
+
+    def finished(pairs: DataFrame, sequences: dict[str, str]) -> DataFrame:
+        position = next(iter(sequences))
+        was_there = f"cast(cast({position} AS array<boolean>) AS array<int>)"
+        typed = {"is_ordered_history": was_there, **{n: f"cast({n} AS array<int>)" for n in sequences}}
+        form = "array_join(cast({} AS array<string>), ' ')" if as_text else "{}"
+        return pairs.selectExpr(
+            *carried,
+            "key",
+            "array_position(target, key) > 0 AS in_target",
+            *[f"{sql} AS {name}" for name, sql in sequences.items()],
+        ).selectExpr(
+            *carried,
+            "key",
+            "in_target",
+            *[f"{form.format(sql)} AS {name}" for name, sql in typed.items()],
+        )
 
-    def prepared(some_users: DataFrame) -> DataFrame:
-        parsed = some_users.select(
-            *keep, nested_column(users, sequence, item_type).alias("baskets")
-        ).withColumn("n_history", F.size("baskets") - 1)
-        return _with_pairs(parsed, visits(F.col("baskets"))).withColumns(context)
+    usual = _usual_pairs(parsed(users.where(~is_large)), carried, context)
+    large = _large_pairs(parsed(users.where(is_large)), carried, context, kind.visits)
+    spread = {name: scatter_sql("visits", "n_history", field) for name, field in kind.visited.items()}
+    return finished(usual, kind.looked_up).unionByName(finished(large, spread))
 
-    # The outer form: a plain explode lets the optimizer infer a filter on the
-    # pairs and push it down with their whole expression copied into it.
-    one_pair = F.explode_outer("pairs").alias("visits")
-    usual = prepared(users.where(~is_large)).select(*carried, one_pair)
-    per_chunk = F.greatest(
-        F.floor(F.lit(CELLS_PER_TASK) / F.greatest("n_history", F.lit(1))), F.lit(1)
-    ).cast("int")
-    chunks = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size("pairs"), F.lit(1)), per_chunk),
-        lambda first: F.slice("pairs", first, per_chunk),
-    )
-    large = (
-        prepared(users.where(is_large))
-        .select(*carried, F.posexplode_outer(chunks).alias("chunk", "pairs"))
-        .repartition("user_id", "chunk")
-        .select(*carried, one_pair)
-    )
-    first_visit = F.get("visits", F.lit(0))["idx"]
-    return usual.unionByName(large).where(first_visit <= F.col("n_history"))
 
+# --- columns ----------------------------------------------------------------
 
-def _is_large(users: DataFrame, name: str) -> Column:
-    """Would the user's pairs times orders exceed one task's share?
 
-    Only routes rows, so an estimate will do: stored text is measured by its
-    length, which spares parsing it for the test.
-    """
-    column = F.col(name)
-    if is_text(users, name):
-        orders = F.length(column) - F.length(F.replace(column, F.lit(" "))) + 1
-        cells = F.length(column).cast("bigint") * orders
-    else:
-        cells = F.size(F.flatten(column)).cast("bigint") * F.size(column)
-    return F.coalesce(cells > CELLS_PER_TASK, F.lit(False))
+def _in_form(sequence: Column, as_text: bool) -> Column:
+    return encode_flat(sequence) if as_text else sequence
 
 
 def _temporal(users: DataFrame, as_text: bool) -> dict[str, Column]:
     """The temporal sequences in the wanted form, encoded once per user."""
     return {
-        name: encode_flat(F.col(name)) if as_text and not is_text(users, name) else F.col(name)
+        name: encode_flat(F.col(name))
         for name in schemas.TEMPORAL
+        if as_text and not is_text(users, name)
     }
 
 
-def _in_form(sequence: Column, as_text: bool) -> Column:
-    return encode_flat(sequence) if as_text else sequence
-
-
-def _spread(value: Callable[[Column], Column], as_text: bool) -> Column:
-    return _in_form(scatter(F.col("visits"), F.col("n_history"), value), as_text)
-
-
 def _train_label(label: Column) -> Column:
     return F.when(F.col("target_eval_set") == "train", label.cast("int")).otherwise(F.lit(-1))
 
 
-def flag_sums(orders: Column) -> Column:
-    """Reordered items per order."""
-    return F.transform(orders, lambda flags: flag_sum(flags).cast("int"))
-
-
-def _history_visits() -> Column:
-    """Visits before the target order, the first one per order."""
-    visits = F.col("visits")
-    return F.filter(
-        visits,
-        lambda visit, k: (visit["idx"] <= F.col("n_history"))
-        & ~visit["idx"].eqNullSafe(F.get(visits, k - 1)["idx"]),
-    )
-
-
 def order_sizes(baskets: Column) -> Column:
     return F.transform(baskets, lambda basket: F.size(basket))
 
@@ -201,6 +220,11 @@ def distinct_sizes(baskets: Column) -> Column:
     return F.transform(baskets, lambda basket: F.size(F.array_distinct(basket)))
 
 
+def flag_sums(orders: Column) -> Column:
+    """Reordered items per order."""
+    return F.transform(orders, lambda flags: flag_sum(flags).cast("int"))
+
+
 def order_overlaps(baskets: Column, first_orders: Column) -> Column:
     """Distinct products of each order that an earlier order already had.
 
@@ -214,6 +238,9 @@ def order_overlaps(baskets: Column, first_orders: Column) -> Column:
     )
 
 
+# --- the tables -------------------------------------------------------------
+
+
 def product_history(
     users: DataFrame,
     tags: DataFrame,
@@ -227,11 +254,10 @@ def product_history(
     ``item_type``); ``tags`` is (user_id, target_eval_set). The label is 1/0
     for train users and -1 for all others. ``as_text`` gives the stored form.
     """
-    past = before_last(F.col("baskets"))
-    pairs = _explode_pairs(
+    past = F.col("past")
+    pairs = _pairs(
         users.join(tags, "user_id", "left"),
-        "product_ids",
-        product_visits,
+        PRODUCTS,
         ["user_id", "eval_set", "target_eval_set", *schemas.TEMPORAL],
         {
             "history_order_size": _in_form(order_sizes(past), as_text),
@@ -241,21 +267,14 @@ def product_history(
             **_temporal(users, as_text),
         },
         item_type,
+        as_text,
     )
-    last_visit = F.try_element_at("visits", F.lit(-1))["idx"]
-    # The lookup joins while a pair still is its few visits.
-    named = (
-        pairs.withColumn("product_id", F.get("visits", F.lit(0))["key"])
+    return (
+        pairs.withColumnRenamed("key", "product_id")
+        .withColumn("label", _train_label(F.col("in_target")))
         .join(products, "product_id", "left")
-        .withColumn("label", _train_label(last_visit > F.col("n_history")))
-        .withColumn("visits", _history_visits())
+        .select(schemas.PRODUCT_HISTORY)
     )
-    return named.withColumns(
-        {
-            "is_ordered_history": _spread(lambda visit: F.lit(1), as_text),
-            "position_in_order_history": _spread(lambda visit: visit["position"], as_text),
-        }
-    ).select(schemas.PRODUCT_HISTORY)
 
 
 def none_history(users: DataFrame, tags: DataFrame, as_text: bool = True) -> DataFrame:
@@ -268,7 +287,6 @@ def none_history(users: DataFrame, tags: DataFrame, as_text: bool = True) -> Dat
     orders = F.col("orders")
     past = before_last(orders)
     reordered = F.array_max(F.try_element_at(orders, F.lit(-1)))
-
     sequences = {
         "is_ordered_history": F.transform(past, lambda o: (F.array_max(o) == 0).cast("int")),
         "position_in_order_history": F.transform(past, lambda o: F.lit(0)),
@@ -315,28 +333,17 @@ def aisle_history(
     users: DataFrame, products: DataFrame, as_text: bool = True, item_type: str = "int"
 ) -> DataFrame:
     """One row per user, aisle of the user's history and department of it."""
-    past = before_last(F.col("baskets"))
-    pairs = _explode_pairs(
+    sizes = _in_form(distinct_sizes(F.col("past")), as_text)
+    pairs = _pairs(
         users,
-        "aisle_ids",
-        aisle_visits,
+        AISLES,
         ["user_id", "eval_set", *schemas.TEMPORAL],
-        {
-            "aisle_history_size": _in_form(distinct_sizes(past), as_text),
-            **_temporal(users, as_text),
-        },
+        {"aisle_history_size": sizes, **_temporal(users, as_text)},
         item_type,
+        as_text,
     )
     return (
-        pairs.withColumn("aisle_id", F.get("visits", F.lit(0))["key"])
+        pairs.withColumnRenamed("key", "aisle_id")
         .join(aisle_departments(products), "aisle_id", "left")
-        .withColumn("visits", _history_visits())
-        .withColumns(
-            {
-                "is_ordered_history": _spread(lambda visit: F.lit(1), as_text),
-                "position_in_order": _spread(lambda visit: visit["position"], as_text),
-                "num_products_from_aisle": _spread(lambda visit: visit["items"], as_text),
-            }
-        )
         .select(schemas.AISLE_HISTORY)
     )

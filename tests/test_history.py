@@ -53,7 +53,8 @@ def test_large_users_take_the_spread_path_with_equal_rows(spark, rows, monkeypat
     tags = split_tags(tables.orders)
     usual = rows(history.product_history(users, tags, tables.products))
     aisles = rows(history.aisle_history(users, tables.products))
-    monkeypatch.setattr(history, "CELLS_PER_TASK", 6)
+    monkeypatch.setattr(history, "LARGE_USER_ITEMS", 3)
+    monkeypatch.setattr(history, "CELLS_PER_CHUNK", 6)
     for some_users in (users, baskets.sequence_text(users)):
         spread = history.product_history(some_users, tags, tables.products)
         assert rows(spread) == usual

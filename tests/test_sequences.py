@@ -9,7 +9,7 @@ from basketseq.functions.sequences import (
     padded_length,
     parse_flat,
     parse_nested,
-    scatter,
+    scatter_sql,
 )
 from basketseq.operators.parsing import parse_aisles, parse_orders
 
@@ -71,7 +71,7 @@ def test_scatter(spark):
         [([(2, 5), (4, 1)], 5), ([], 3), ([(1, 7)], 1), ([], 0)],
         "v array<struct<idx:int,x:int>>, n int",
     )
-    got = df.select(scatter(F.col("v"), F.col("n"), lambda visit: visit["x"]).alias("a")).collect()
+    got = df.selectExpr(f"{scatter_sql('v', 'n', 'x')} AS a").collect()
     assert [r["a"] for r in got] == [[0, 5, 0, 1, 0], [0, 0, 0], [7], []]
 
 
