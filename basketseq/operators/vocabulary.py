@@ -9,8 +9,8 @@ from basketseq.sources.shared import materialise
 
 # Up to this many characters and rows, everything derived from the names is
 # proven small: a word and its separator take two characters, so there are at
-# most half as many words, and the encoded names fit in a few hundred MB.
-SMALL_TEXT_CHARS = 4_000_000
+# most half as many words, and the encoded names fit in some hundred MB.
+SMALL_TEXT_CHARS = 2_000_000
 
 
 def is_small_text(texts: DataFrame, text_column: str = "product_name") -> bool:
@@ -74,15 +74,15 @@ def encode_names(
     products: DataFrame,
     index: DataFrame,
     text_column: str = "product_name",
-    small: bool | None = None,
+    broadcast_index: bool = False,
 ) -> DataFrame:
     """(product_id, product_name_encoded): word ids in name order, as text.
 
-    Words outside the index leave no id; a name without words is "0". The
-    index is broadcast only when ``small``; otherwise the join shuffles and AQE
-    splits frequent words.
+    Words outside the index leave no id; a name without words is "0".
+    ``broadcast_index`` is for an index proven small; otherwise Catalyst and
+    AQE go by its size, and a shuffled join splits frequent words.
     """
-    if is_small_text(products, text_column) if small is None else small:
+    if broadcast_index:
         index = F.broadcast(index)
     tokens = name_tokens(products, text_column).join(index, "word", "left")
     has_id = F.col("word_idx").isNotNull()

@@ -286,7 +286,7 @@ def j7_document_words(spark, folder):
     """Documents as names, frequent words only as index, no broadcast."""
     documents = Model(spark, folder).documents
     index = vocabulary.word_index(documents, MIN_DOCUMENT_WORD_FREQ, small=False)
-    return vocabulary.encode_names(documents, index.where("word_idx > 0"), small=False)
+    return vocabulary.encode_names(documents, index.where("word_idx > 0"))
 
 
 @query

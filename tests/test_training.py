@@ -65,11 +65,11 @@ def test_word_index(spark, small):
     assert got == brute.vocabulary([name for _, name in NAMES], 2)
 
 
-@pytest.mark.parametrize("small", [True, False, None])
-def test_encode_names(spark, rows, small):
+@pytest.mark.parametrize("broadcast_index", [True, False])
+def test_encode_names(spark, rows, broadcast_index):
     products = spark.createDataFrame([*NAMES, (9, "tea"), (9, "green tea")], "product_id int, product_name string")
     index = spark.createDataFrame([("green", 1), ("pepper", 2), ("tea", 3), ("black", 0)], "word string, word_idx int")
-    got = [tuple(r.values()) for r in rows(vocabulary.encode_names(products, index, small=small))]
+    got = [tuple(r.values()) for r in rows(vocabulary.encode_names(products, index, broadcast_index=broadcast_index))]
     assert got == [
         (1, "1 3"),
         (2, "1 2"),
