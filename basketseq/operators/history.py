@@ -1,7 +1,8 @@
 """Purchase histories: one row per (user, product), (user, aisle) and "None".
 
 The last order of a sequence is the target, the orders before it are the
-history. Every row follows from the user's own row, so users are not shuffled.
+history. Every row follows from the user's own row, so beyond the join with
+the split tags nothing is shuffled, except for large users:
 
 * Usual users: their keys are exploded and each key is looked up in every past
   basket, one native array search per order.
