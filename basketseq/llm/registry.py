@@ -1,30 +1,144 @@
-"""The registered queries of this package and their SQL."""
+"""The registered queries of this package and their SQL.
+
+Each query applies one operator, with its production parameters, to its whole
+table. Where SQL can express the operator its SQL is here; where it can't
+(hash functions, compression, tokenizers, models, drawn orders) the tests hold
+the query against a brute-force version.
+"""
 
 from __future__ import annotations
 
+import hashlib
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
+import public_tokenizers
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
-
-from basketseq.llm import near_dedup, quality
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from basketseq.llm import (
+    chat,
+    co_training,
+    mixing,
+    near_dedup,
+    neighbours,
+    packing,
+    pii,
+    quality,
+    sharding,
+    urls,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+#: Rows that a Python worker gets at once: whole texts can be long.
+BATCH_ROWS = 1_000
 
-def ship_package() -> None:
-    """Send this package's functions along with the tasks that call them.
 
-    Executors then need no copy of the repository on their import path.
-    """
+def ship_package(spark: SparkSession | None = None) -> None:
+    """Send this package's functions along with the tasks that call them, and
+    bound the rows of a batch. Executors then need no copy of the repository."""
     cloudpickle.register_pickle_by_value(sys.modules["basketseq.llm"])
+    if spark is not None:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.with_pseudonyms(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op2_projected_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, F.col("id") % 50 == 0, k=5)
+
+
+def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed_words(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken"
+    )
+
+
+def op4_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER, with_ids=False)
+
+
+def op5_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    placed = sharding.sharded(docs)
+    text = F.col("row.text")
+    return placed.select(
+        "row.doc_id",
+        sharding.text_bytes(text).alias("size"),
+        F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def _read_back(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """What the formatted conversations and their masks say."""
+    for batch in batches:
+        rows = []
+        for key, formatted, spans in zip(
+            batch["conv_id"], batch["formatted"], batch["loss_spans"], strict=True
+        ):
+            turns = chat.parse(formatted)
+            whole = "".join(f"{role}\n{text}\n" for role, text in turns)
+            loss = "".join(chat.unescaped(formatted[s["begin"] : s["end"]]) for s in spans)
+            rows.append(
+                (
+                    key,
+                    len(turns),
+                    hashlib.sha256(whole.encode("utf-8", "replace")).hexdigest(),
+                    len(loss),
+                    hashlib.sha256(loss.encode("utf-8", "replace")).hexdigest(),
+                    len(formatted),
+                )
+            )
+        yield pd.DataFrame(rows, columns=_READ_BACK)
+
+
+_READ_BACK = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+
+
+def op6_chat_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"),
+    )
+    formatted = chat.formatted_conversations(turns.unionByName(control), TOKENIZER)
+    named = formatted.select(F.col("conv_id").cast("string"), "formatted", "loss_spans")
+    return named.mapInPandas(
+        _read_back,
+        "conv_id string, n_turns long, turns_sha256 string, loss_chars long, "
+        "loss_sha256 string, formatted_chars long",
+    ).withColumn("conv_id", F.col("conv_id").cast("long"))
+
+
+def op7_co_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    scored = co_training.with_scores(table(spark, sf_dir, "documents"), labels)
+    return scored.select("doc_id", "text_score", "meta_score", "score", "kept")
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    judged = urls.judged_urls(pages)
+    return judged.select("row.page_id", "host", "path", "rule", "verdict", "probability")
+
+
 def op9_chosen_path_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = near_dedup.near_duplicates(docs, shingle=3, percent=85)
@@ -36,11 +150,68 @@ def op10_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.with_quality(docs).drop("text")
 
 
+OP3_SQL = r"""
+WITH docs AS (
+    SELECT doc_id, source,
+           CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+           md5(concat_ws('|', 'mix', CAST(doc_id AS VARCHAR), md5(coalesce(text, '')))) AS mix_key
+    FROM documents
+),
+sources AS (
+    SELECT source, source_size, 2 * source_size AS cap,
+           CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3
+                WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight
+    FROM (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM docs GROUP BY source)
+),
+lined AS (
+    SELECT *,
+           coalesce(sum(cap) OVER before, 0) AS cap_before,
+           coalesce(sum(weight) OVER before, 0) AS weight_before
+    FROM sources
+    WINDOW before AS (ORDER BY cap / weight, source NULLS LAST
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+),
+levels AS (
+    SELECT max(level) AS level
+    FROM (SELECT weight, cap,
+                 (CAST((SELECT sum(source_size) FROM sources) AS DOUBLE) * 1.5 - cap_before)
+                 / ((SELECT sum(weight) FROM sources) - weight_before) AS level
+          FROM lined)
+    WHERE level * weight <= cap
+),
+targets AS (
+    SELECT source, source_size,
+           least(CAST(cap AS DOUBLE), coalesce((SELECT level FROM levels), 0) * weight) AS target
+    FROM sources
+),
+placed AS (
+    SELECT d.doc_id, d.size, t.source_size, t.target,
+           CAST(floor(t.target) AS BIGINT) AS budget,
+           coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY mix_key, doc_id, size
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begin
+    FROM docs d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, size, source_size, target,
+       CAST(CASE WHEN source_size = 0 THEN 0 ELSE
+            (budget // source_size) * size
+            + greatest(0, least(size, budget % source_size - begin)) END AS BIGINT) AS taken
+FROM placed
+"""
+
+
 def queries() -> dict[str, Query]:
     ship_package()
     return {
         query.__name__: query
         for query in (
+            op1_feistel_pseudonyms,
+            op2_projected_neighbours,
+            op3_source_mixing,
+            op4_sum_of_squares_packing,
+            op5_external_shuffle,
+            op6_chat_masks,
+            op7_co_training,
+            op8_url_filter,
             op9_chosen_path_dedup,
             op10_compression_bands,
         )
@@ -48,4 +219,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_source_mixing": OP3_SQL}

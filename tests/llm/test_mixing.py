@@ -1,0 +1,107 @@
+import collections
+import hashlib
+import re
+
+import pytest
+
+from basketseq.llm import mixing
+from tests.llm import edge
+
+
+def brute(rows, share=1.5, most=2):
+    """Targets by filling: (source -> target), by repeated resharing."""
+    size = collections.Counter()
+    for r in rows:
+        size[r.source] += len(re.findall(r"[^\x20\x09-\x0D]+", r.text or ""))
+    order = sorted((s for s in size if s is not None), key=lambda s: s.encode())
+    order += [None] if None in size else []
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(order)}
+    target, free, left = {}, set(order), share * sum(size.values())
+    while free:
+        level = left / sum(weight[s] for s in free)
+        full = {s for s in free if level * weight[s] > most * size[s]}
+        if not full:
+            target |= {s: level * weight[s] for s in free}
+            break
+        for s in full:
+            target[s] = most * size[s]
+            left -= target[s]
+        free -= full
+    return size, target
+
+
+def check(rows, found):
+    size, target = brute(rows)
+    source = collections.defaultdict(set)
+    for r in rows:
+        source[r.doc_id].add(r.source)
+    taken = collections.Counter()
+    assert len(found) == len(rows)
+    for r in found:
+        assert 0 <= r.taken <= 2 * r.size
+        (own,) = [s for s in source[r.doc_id] if size[s] == r.source_size][:1]
+        assert r.target == pytest.approx(target[own])
+        taken[own] += r.taken
+    if len({size[s] for s in size}) == len(size):
+        for s in size:
+            assert taken[s] == int(target[s] + 1e-9)
+
+
+def test_targets_and_budgets_on_the_tables(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = mixing.mixed_words(docs).collect()
+    check(docs.collect(), found)
+    again = mixing.mixed_words(docs.repartition(7)).collect()
+    assert sorted(map(tuple, found)) == sorted(map(tuple, again))
+
+
+def test_edge_rows(spark):
+    docs = edge.frame(spark)
+    check(docs.collect(), mixing.mixed_words(docs).collect())
+    assert mixing.mixed_words(edge.empty(spark)).count() == 0
+    assert mixing.mixed_documents(edge.empty(spark)).count() == 0
+
+
+def words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text)
+
+
+def test_the_mix_holds_what_is_taken(spark):
+    docs = edge.frame(spark)
+    taken = collections.Counter()
+    for r in mixing.mixed_words(docs).collect():
+        taken[r.doc_id] += r.taken
+    mix = mixing.mixed_documents(docs)
+    assert mix.columns == docs.columns
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    found = collections.Counter()
+    for r in mix.collect():
+        assert texts[r.doc_id].startswith(r.text)
+        assert words(texts[r.doc_id])[: len(words(r.text))] == words(r.text)
+        found[r.doc_id] += len(words(r.text))
+    assert +found == +taken
+
+
+def test_sources_without_words(spark):
+    docs = spark.createDataFrame(
+        [(1, None, "a"), (2, " ", "b")], "doc_id long, text string, source string"
+    )
+    assert [(r.target, r.taken) for r in mixing.mixed_words(docs).collect()] == [(0.0, 0)] * 2
+
+
+def test_order_within_a_source_is_by_key(spark):
+    rows = [(i, "w " * (i + 1), "only") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: r.taken for r in mixing.mixed_words(docs).collect()}
+
+    def key(row):
+        text = hashlib.md5(row[1].encode()).hexdigest()
+        return hashlib.md5(f"mix|{row[0]}|{text}".encode()).hexdigest()
+
+    total = sum(i + 1 for i, _, _ in rows)
+    rest = int(1.5 * total) - total
+    for row in sorted(rows, key=key):
+        n = row[0] + 1
+        extra = max(0, min(n, rest))
+        assert got[row[0]] == n + extra
+        rest -= extra

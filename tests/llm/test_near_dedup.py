@@ -1,0 +1,130 @@
+import collections
+import random
+import re
+
+import pytest
+
+from basketseq.llm import near_dedup
+from basketseq.llm.components import components
+from basketseq.llm.scratch import Scratch
+from tests.llm import edge
+
+
+def sets_of(texts, size):
+    lower = {c: c + 32 for c in range(65, 91)}
+    out = []
+    for text in texts:
+        w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(lower))
+        out.append({tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} if w else set())
+    return out
+
+
+def groups(sets, percent):
+    parent = list(range(len(sets)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    where = collections.defaultdict(list)
+    for i, s in enumerate(sets):
+        common = collections.Counter(j for x in s for j in where[x])
+        for j, n in common.items():
+            if 100 * n >= percent * (len(s) + len(sets[j]) - n):
+                parent[find(i)] = find(j)
+        for x in s:
+            where[x].append(i)
+    return [find(i) for i in range(len(sets))]
+
+
+def check(rows, size, percent):
+    """rows: (doc_id, text, n_shingles, component_id, kept, first_row)"""
+    sets = sets_of([r.text for r in rows], size)
+    label = groups(sets, percent)
+    members = collections.defaultdict(list)
+    for i, r in enumerate(rows):
+        members[label[i] if sets[i] else ("alone", i)].append(i)
+    for group in members.values():
+        ids = [rows[i].doc_id for i in group if rows[i].doc_id is not None]
+        least = min(ids, default=None)
+        for i in group:
+            assert rows[i].n_shingles == len(sets[i])
+            assert rows[i].component_id == least, rows[i].doc_id
+            assert rows[i].kept == (rows[i].doc_id == least)
+        assert sum(rows[i].first_row for i in group) == 1
+
+
+def variants(rng, n, changes):
+    base = edge.words(120, rng.random()).split()
+    out = []
+    for _ in range(n):
+        copy = list(base)
+        for _ in range(rng.choice(changes)):
+            copy[rng.randrange(len(copy))] = edge.words(1, rng.random())
+        out.append(" ".join(copy))
+    return out
+
+
+def random_docs(seed, n_groups, size, changes=(0, 1, 2, 3, 5, 8)):
+    rng = random.Random(seed)
+    texts = [t for _ in range(n_groups) for t in variants(rng, rng.randint(1, size), changes)]
+    rng.shuffle(texts)
+    return [(i, t) for i, t in enumerate(texts)]
+
+
+@pytest.mark.parametrize(("size", "percent"), [(3, 85), (5, 80)])
+def test_equals_brute_force(spark, size, percent):
+    docs = spark.createDataFrame(random_docs(3, 25, 12), "doc_id long, text string")
+    check(near_dedup.near_duplicates(docs, shingle=size, percent=percent).collect(), size, percent)
+
+
+def test_large_nodes_branch_and_end_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "LEAF", 3)
+    monkeypatch.setattr(near_dedup, "MAX_DEPTH", 5)
+    docs = spark.createDataFrame(random_docs(8, 3, 40, (3, 4, 5)), "doc_id long, text string")
+    check(near_dedup.near_duplicates(docs, shingle=3, percent=85).collect(), 3, 85)
+
+
+def test_tables(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    check(near_dedup.near_duplicates(docs, shingle=3, percent=85).collect(), 3, 85)
+
+
+def test_edge_rows(spark):
+    docs = edge.frame(spark)
+    found = near_dedup.near_duplicates(docs).collect()
+    assert len(found) == len(edge.ROWS)
+    check(found, 5, 80)
+    one = near_dedup.one_of_each(docs)
+    assert one.columns == docs.columns
+    assert one.count() == sum(r.first_row for r in found)
+    assert {r.component_id for r in one.select("component_id").collect()} == {"x"}
+    assert near_dedup.near_duplicates(edge.empty(spark)).count() == 0
+
+
+def test_trees_reach_the_recall():
+    for similarity in (0.8, 0.85, 0.95):
+        missed = (1 - similarity**near_dedup.START_DEPTH) ** near_dedup.trees_needed(similarity)
+        assert missed <= 1 - near_dedup.RECALL
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_components(spark, seed):
+    rng = random.Random(seed)
+    chain = [(i, i + 1) for i in range(30)]
+    edges = chain + [(100 + rng.randrange(40), 100 + rng.randrange(40)) for _ in range(25)]
+    edges += [(7, 7), edges[3]]
+    rng.shuffle(edges)
+    df = spark.createDataFrame(edges, "u long, v long")
+    found = {r.u: r.v for r in components(df, Scratch(spark, "test")).collect()}
+    parent = {x: x for e in edges for x in e}
+    for _ in parent:
+        for a, b in edges:
+            parent[a] = parent[b] = min(parent[a], parent[b])
+    assert found == {x: p for x, p in parent.items() if p != x}
+
+
+def test_components_of_nothing(spark):
+    df = spark.createDataFrame([], "u long, v long")
+    assert components(df, Scratch(spark, "test")).count() == 0
