@@ -49,13 +49,21 @@ def is_text(df: DataFrame, name: str) -> bool:
 
 
 def nested_column(df: DataFrame, name: str, item_type: str = "int") -> Column:
-    """The column as array of arrays, whichever form the table stores."""
-    return parse_nested(F.col(name), item_type) if is_text(df, name) else F.col(name)
+    """The column as array of arrays, whichever form the table stores.
+
+    Text is read as bigint first: an integer too wide for ``item_type`` then fails
+    the cast (ANSI mode) instead of passing for a token that is no integer.
+    """
+    if not is_text(df, name):
+        return F.col(name)
+    return parse_nested(F.col(name), "bigint").cast(f"array<array<{item_type}>>")
 
 
 def flat_column(df: DataFrame, name: str, item_type: str = "int") -> Column:
-    """The column as flat array, whichever form the table stores."""
-    return parse_flat(F.col(name), item_type=item_type) if is_text(df, name) else F.col(name)
+    """The column as flat array, whichever form the table stores; null is empty."""
+    if is_text(df, name):
+        return parse_flat(F.col(name), item_type=item_type)
+    return F.coalesce(name, F.array().cast(df.schema[name].dataType))
 
 
 def before_last(orders: Column) -> Column:
@@ -63,9 +71,15 @@ def before_last(orders: Column) -> Column:
     return F.slice(orders, F.lit(1), F.greatest(F.size(orders) - 1, F.lit(0)))
 
 
-def pad(values: Column, length: int) -> Column:
-    """Exactly ``length`` elements: the oldest ones kept, zeros behind."""
+def pad(values: Column, length: int, keep: str = "first") -> Column:
+    """Exactly ``length`` elements with zeros behind: of longer sequences the
+    oldest are kept, or with ``keep="last"`` the newest."""
+    if keep not in ("first", "last"):
+        raise ValueError(f"keep must be 'first' or 'last', not {keep!r}")
     zeros = F.array_repeat(F.lit(0), length)
+    if keep == "last":
+        start = F.greatest(F.size(values) - length, F.lit(0)) + 1
+        values = F.slice(values, start, F.lit(length))
     return F.slice(F.concat(values, zeros), 1, length)
 
 

@@ -82,6 +82,26 @@ def basket_text(baskets: DataFrame) -> DataFrame:
     )
 
 
+def declared_targets(baskets: DataFrame, orders: DataFrame) -> DataFrame:
+    """``baskets`` plus an empty one for each tagged order without items.
+
+    The target of a user is then the order that the split declares, and all orders
+    with items are history, instead of the last of them being the target.
+    """
+    tagged = orders.where(F.col("eval_set").isin("train", "test"))
+    filled = tagged.join(baskets.select("order_id"), "order_id", "left_anti")
+    columns = {
+        "order_hour": F.col("order_hour_of_day"),
+        "days_since_prior_order": F.coalesce("days_since_prior_order", F.lit(-1)),
+        **{name: F.array() for name in _BASKET},
+    }
+    return baskets.unionByName(
+        filled.withColumns(columns).select(
+            *[F.col(f.name).cast(f.dataType).alias(f.name) for f in baskets.schema]
+        )
+    )
+
+
 def user_orders(baskets: DataFrame) -> DataFrame:
     """One row per user: the orders as array of structs, oldest first.
 

@@ -18,7 +18,8 @@ def partition_summary(df: DataFrame) -> DataFrame:
     """(n_partitions, n_rows, max_rows, min_rows), empty partitions included.
 
     Rows are counted inside the JVM; only the number of partitions comes from
-    the physical plan.
+    the physical plan. Asking for it runs the stages below the last shuffle, and the
+    counts run with adaptive merging out of the way, so both see one layout.
     """
     n_partitions = df.rdd.getNumPartitions()
     filled = F.count(F.lit(1))

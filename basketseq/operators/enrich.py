@@ -55,8 +55,8 @@ def check_join_counts(joined: DataFrame, items: DataFrame) -> None:
     counts = join_counts(joined, items).first()
     if counts["joined_count"] != counts["raw_count"]:
         raise ValueError(
-            "Joined row count mismatch with original row count: "
-            f"joined_count={counts['joined_count']}, raw_count={counts['raw_count']}"
+            f"Joined row count mismatch: {counts['raw_count']} items went into the joins, "
+            f"{counts['joined_count']} rows came out"
         )
 
 

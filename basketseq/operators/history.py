@@ -30,7 +30,9 @@ from basketseq.functions.sequences import (
     scatter_sql,
 )
 
-# Users with more items than this take the path for large users.
+# Default of ``large_user_items``: users with more items than this take the path
+# for large users. Both paths give the same rows; the first is the faster one for
+# short histories, the second is linear in the items.
 LARGE_USER_ITEMS = 4_000
 # Output cells (pairs x orders) of a large user one chunk of pairs may hold.
 CELLS_PER_CHUNK = 4_000_000
@@ -46,12 +48,14 @@ CELLS_PER_CHUNK = 4_000_000
 class PairKind:
     """What makes a pair: its key, and its sequences in both forms.
 
-    ``looked_up`` holds SQL over ``past`` and ``key``, ``visits`` the (key,
+    ``prepared`` holds SQL over ``past``, computed once per user; ``looked_up`` SQL
+    over ``past``, those and ``key``; ``visits`` the (key,
     idx, ...) structs of every past order, ``visited`` the visit fields to
     spread. The first sequence is the position, 0 where the key is absent.
     """
 
     sequence: str
+    prepared: dict[str, str]
     looked_up: dict[str, str]
     visits: str
     visited: dict[str, str]
@@ -59,6 +63,7 @@ class PairKind:
 
 PRODUCTS = PairKind(
     sequence="product_ids",
+    prepared={},
     # The index in the basket, of the first occurrence.
     looked_up={
         "position_in_order_history": "transform(past, b -> array_position(b, key))",
@@ -69,10 +74,17 @@ PRODUCTS = PairKind(
 )
 AISLES = PairKind(
     sequence="aisle_ids",
-    # The rank by first appearance among the distinct aisles of the order.
+    # The rank by first appearance among the distinct aisles of the order, and the
+    # items of the aisle, which stand at the same place.
+    prepared={
+        "ranked": "transform(past, b -> array_distinct(b))",
+        "items_of_ranked": """transform(past, b -> transform(array_distinct(b),
+            a -> size(b) - size(array_remove(b, a))))""",
+    },
     looked_up={
-        "position_in_order": "transform(past, b -> array_position(array_distinct(b), key))",
-        "num_products_from_aisle": "transform(past, b -> size(b) - size(array_remove(b, key)))",
+        "position_in_order": "transform(ranked, r -> array_position(r, key))",
+        "num_products_from_aisle": """zip_with(ranked, items_of_ranked,
+            (r, n) -> coalesce(get(n, int(array_position(r, key)) - 1), 0))""",
     },
     visits="""transform(past, (b, i) -> transform(array_distinct(b), (k, j) ->
         named_struct('key', k, 'idx', i + 1, 'position', j + 1,
@@ -81,17 +93,19 @@ AISLES = PairKind(
 )
 
 
-def _is_large(users: DataFrame, name: str) -> Column:
+def _is_large(users: DataFrame, name: str, bound: int) -> Column:
     """Counts the items; stored text is not parsed for it."""
     items = (
         f"length({name}) - length(translate({name}, '_ ', '')) + 1"
         if is_text(users, name)
         else f"size(flatten({name}))"
     )
-    return F.expr(f"coalesce({items} > {LARGE_USER_ITEMS}, false)")
+    return F.expr(f"coalesce({items} > {bound}, false)")
 
 
-def _usual_pairs(users: DataFrame, carried: list[str], context: dict[str, Column]) -> DataFrame:
+def _usual_pairs(
+    users: DataFrame, carried: list[str], context: dict[str, Column], prepared: dict[str, str]
+) -> DataFrame:
     """``carried`` columns and ``key``, plus the baskets to look the key up in."""
     order_of_item = "flatten(transform(past, (b, i) -> array_repeat(i + 1, size(b))))"
     first_orders = "transform(keys, k -> get(order_of_item, int(array_position(items, k)) - 1))"
@@ -101,8 +115,8 @@ def _usual_pairs(users: DataFrame, carried: list[str], context: dict[str, Column
         users.selectExpr("*", "flatten(past) AS items", f"{order_of_item} AS order_of_item")
         .selectExpr("*", "array_distinct(items) AS keys")
         .selectExpr("*", f"{first_orders} AS first_orders")
-        .withColumns(context)
-        .selectExpr(*carried, "past", "target", "explode_outer(keys) AS key")
+        .withColumns(context | {name: F.expr(sql) for name, sql in prepared.items()})
+        .selectExpr(*carried, "past", *prepared, "target", "explode_outer(keys) AS key")
         .where("key IS NOT NULL")
     )
 
@@ -152,6 +166,7 @@ def _pairs(
     context: dict[str, Column],
     item_type: str,
     as_text: bool,
+    large_user_items: int,
 ) -> DataFrame:
     """One row per user and key of the history.
 
@@ -160,7 +175,7 @@ def _pairs(
     ``is_ordered_history`` and the kind's sequences.
     """
     carried = [*keep, *[name for name in context if name not in keep]]
-    is_large = _is_large(users, kind.sequence)
+    is_large = _is_large(users, kind.sequence, large_user_items)
     baskets = nested_column(users, kind.sequence, item_type).alias("baskets")
     apart = [
         "slice(baskets, 1, greatest(size(baskets) - 1, 0)) AS past",
@@ -187,7 +202,7 @@ def _pairs(
             *[f"{form.format(sql)} AS {name}" for name, sql in typed.items()],
         )
 
-    usual = _usual_pairs(parsed(users.where(~is_large)), carried, context)
+    usual = _usual_pairs(parsed(users.where(~is_large)), carried, context, kind.prepared)
     large = _large_pairs(parsed(users.where(is_large)), carried, context, kind.visits)
     spread = {name: scatter_sql("visits", "n_history", field) for name, field in kind.visited.items()}
     return finished(usual, kind.looked_up).unionByName(finished(large, spread))
@@ -226,16 +241,25 @@ def flag_sums(orders: Column) -> Column:
     return F.transform(orders, lambda flags: flag_sum(flags).cast("int"))
 
 
-def order_overlaps(baskets: Column, first_orders: Column) -> Column:
+def order_overlaps(baskets: str, first_orders: str) -> Column:
     """Distinct products of each order that an earlier order already had.
 
-    ``first_orders`` holds, once per product, the 1-based order that brought
-    it in. An order's new products are the occurrences of its own index.
+    ``first_orders`` names an array that holds, once per product, the 1-based
+    order that brought it in. Sorted, its runs count the new products of each
+    order; the runs are spread over the orders and taken off the distinct sizes.
+    Linear but for the sort. A null is no product.
     """
-    return F.transform(
-        baskets,
-        lambda basket, i: F.size(F.array_distinct(basket))
-        - (F.size(first_orders) - F.size(F.array_remove(first_orders, i + 1))),
+    starts = f"""filter(sequence(0, greatest(size(firsts) - 1, 0)),
+        i -> NOT get(firsts, i) <=> get(firsts, i - 1))"""
+    runs = """transform(starts, (start, j) -> named_struct('idx', get(firsts, start),
+        'fresh', coalesce(get(starts, j + 1), size(firsts)) - start))"""
+    spread = scatter_sql("runs", f"size({baskets})", "fresh")
+    # Each inner transform names one value, so that it is computed once.
+    fresh = f"""transform(array(array_sort(array_compact({first_orders}))), firsts ->
+        transform(array({starts}), starts -> transform(array({runs}), runs -> {spread})))"""
+    return F.expr(
+        f"""zip_with(transform({baskets}, b -> size(array_distinct(array_compact(b)))),
+        {fresh}[0][0][0], (distinct_products, n) -> distinct_products - n)"""
     )
 
 
@@ -248,6 +272,7 @@ def product_history(
     products: DataFrame,
     as_text: bool = True,
     item_type: str = "int",
+    large_user_items: int = LARGE_USER_ITEMS,
 ) -> DataFrame:
     """One row per user and product of the user's history.
 
@@ -262,13 +287,12 @@ def product_history(
         ["user_id", "eval_set", "target_eval_set", *schemas.TEMPORAL],
         {
             "history_order_size": _in_form(order_sizes(past), as_text),
-            "history_reorder_size": _in_form(
-                order_overlaps(past, F.col("first_orders")), as_text
-            ),
+            "history_reorder_size": _in_form(order_overlaps("past", "first_orders"), as_text),
             **_temporal(users, as_text),
         },
         item_type,
         as_text,
+        large_user_items,
     )
     return (
         pairs.withColumnRenamed("key", "product_id")
@@ -287,7 +311,9 @@ def none_history(users: DataFrame, tags: DataFrame, as_text: bool = True) -> Dat
     """
     orders = F.col("orders")
     past = before_last(orders)
-    reordered = F.array_max(F.try_element_at(orders, F.lit(-1)))
+    # A target order without items reorders nothing.
+    last = F.try_element_at(orders, F.lit(-1))
+    reordered = F.when(last.isNotNull(), F.coalesce(F.array_max(last), F.lit(0)))
     sequences = {
         "is_ordered_history": F.transform(past, lambda o: (F.array_max(o) == 0).cast("int")),
         "position_in_order_history": F.transform(past, lambda o: F.lit(0)),
@@ -330,8 +356,30 @@ def aisle_departments(products: DataFrame) -> DataFrame:
     return products.select("aisle_id", "department_id").distinct()
 
 
+def mixed_aisles(products: DataFrame) -> DataFrame:
+    """(aisle_id, n_departments) of the aisles in several departments: each of
+    their aisle rows comes once per department."""
+    return (
+        aisle_departments(products)
+        .groupBy("aisle_id")
+        .agg(F.count(F.lit(1)).alias("n_departments"))
+        .where("n_departments > 1")
+    )
+
+
+def check_aisles(products: DataFrame) -> None:
+    """Raise when aisle rows would fan out."""
+    found = mixed_aisles(products).agg(F.count(F.lit(1)), F.min("aisle_id")).first()
+    if found[0]:
+        raise ValueError(f"{found[0]} aisles lie in several departments, the first is {found[1]}")
+
+
 def aisle_history(
-    users: DataFrame, products: DataFrame, as_text: bool = True, item_type: str = "int"
+    users: DataFrame,
+    products: DataFrame,
+    as_text: bool = True,
+    item_type: str = "int",
+    large_user_items: int = LARGE_USER_ITEMS,
 ) -> DataFrame:
     """One row per user, aisle of the user's history and department of it."""
     sizes = _in_form(distinct_sizes(F.col("past")), as_text)
@@ -342,6 +390,7 @@ def aisle_history(
         {"aisle_history_size": sizes, **_temporal(users, as_text)},
         item_type,
         as_text,
+        large_user_items,
     )
     return (
         pairs.withColumnRenamed("key", "aisle_id")

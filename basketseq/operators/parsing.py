@@ -4,11 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from basketseq.functions.sequences import before_last
-
-
-def _tokens(text, item_type: str):
-    return F.split(text, "_").try_cast(f"array<{item_type}>")
+from basketseq.functions.sequences import before_last, nested_column
 
 
 def parse_orders(
@@ -23,17 +19,16 @@ def parse_orders(
     raw and prev are order texts, all and next_int their ids. ``with_sets``
     adds the distinct ids of the history and of the target in first-seen order.
     """
-    raw, prev = F.col(f"{prefix}_raw"), F.col(f"{prefix}_prev")
-    last = F.try_element_at(raw, F.lit(-1))
-    parsed = (
-        df.withColumn(f"{prefix}_raw", F.split(column, " "))
-        .withColumns({f"{prefix}_prev": before_last(raw), f"next_{prefix}": last})
-        .withColumns(
-            {
-                f"{prefix}_all": F.transform(prev, lambda order: _tokens(order, item_type)),
-                f"next_{prefix}_int": _tokens(F.col(f"next_{prefix}"), item_type),
-            }
-        )
+    texts = F.split(column, " ")
+    ids = nested_column(df, column, item_type)
+    parsed = df.withColumns(
+        {
+            f"{prefix}_raw": texts,
+            f"{prefix}_prev": before_last(texts),
+            f"next_{prefix}": F.try_element_at(texts, F.lit(-1)),
+            f"{prefix}_all": before_last(ids),
+            f"next_{prefix}_int": F.try_element_at(ids, F.lit(-1)),
+        }
     )
     if not with_sets:
         return parsed

@@ -9,9 +9,6 @@ from basketseq import schemas
 from basketseq.operators.ranking import rank_in_ranges
 from basketseq.sources.files import child, write_csv
 
-# Up to this many users a top-n is cheaper than ranking all of them.
-TOP_N_LIMIT = 100_000
-
 
 def read_raw(spark: SparkSession, path) -> DataFrame:
     """CSV cells as they are, all text."""
@@ -30,7 +27,7 @@ def check_inputs(spark: SparkSession, raw_dir, sample_n: int) -> None:
             missing.append(table)
     if missing:
         raise FileNotFoundError(
-            f"Missing required input files in {raw_dir}: {' '.join(sorted(missing))}"
+            f"Missing required input files in {raw_dir} (as <table>.csv): {' '.join(sorted(missing))}"
         )
     check_user_count(read_raw(spark, child(raw_dir, "orders.csv")), sample_n)
 
@@ -44,7 +41,7 @@ def check_user_count(orders: DataFrame, sample_n: int) -> None:
     available = user_count(orders).first()["n_users"]
     if sample_n > available:
         raise ValueError(
-            f"sample_n={sample_n} is greater than number of unique users available: {available}"
+            f"sample_n={sample_n} is greater than number of unique users ({available} have orders)"
         )
 
 
@@ -56,12 +53,8 @@ def sample_users(orders: DataFrame, sample_n: int, seed: int) -> DataFrame:
     """
     draw = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("user_id").cast("string")))
     users = orders.select("user_id").distinct().withColumn("draw", draw)
-    order = [F.asc("draw"), F.asc("user_id")]
-    if sample_n <= TOP_N_LIMIT:
-        drawn = users.orderBy(*order).limit(sample_n)
-    else:
-        drawn = rank_in_ranges(users, order, "rank").where(F.col("rank") <= sample_n)
-    return drawn.select("user_id")
+    ranked = rank_in_ranges(users, [F.asc("draw"), F.asc("user_id")], "rank")
+    return ranked.where(F.col("rank") <= sample_n).select("user_id")
 
 
 def orders_of_users(orders: DataFrame, users: DataFrame) -> DataFrame:

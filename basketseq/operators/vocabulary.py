@@ -2,25 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from basketseq.operators.ranking import rank_in_ranges
 from basketseq.sources.shared import materialise
 
-# Up to this many characters and rows, everything derived from the names is
-# proven small: a word and its separator take two characters, so there are at
-# most half as many words, and the encoded names fit in some hundred MB.
-SMALL_TEXT_CHARS = 2_000_000
-
-
-def is_small_text(texts: DataFrame, text_column: str = "product_name") -> bool:
-    """Measures the text column with one narrow aggregate."""
-    measured = texts.agg(
-        F.sum(F.length(text_column) + 1).alias("chars"), F.count(F.lit(1)).alias("rows")
-    ).first()
-    return max(measured["chars"] or 0, measured["rows"]) <= SMALL_TEXT_CHARS
-
-
 def words(text: Column) -> Column:
     """Lower-case words split at white space; only spaces are trimmed."""
     return F.split(F.trim(F.lower(text)), r"\s+")
@@ -37,25 +23,16 @@ def word_counts(texts: DataFrame, text_column: str = "product_name") -> DataFram
 
 
 def word_index(
-    texts: DataFrame,
-    min_word_freq: int = 5,
-    text_column: str = "product_name",
-    small: bool | None = None,
+    texts: DataFrame, min_word_freq: int = 5, text_column: str = "product_name"
 ) -> DataFrame:
     """(word, word_idx): ids from 1 by falling count, then by word; rare words 0.
 
-    ``small`` tells whether one partition may rank the words; by default the
-    texts are measured.
+    The counts are written once: the frequent words are ranked range by range, the
+    rare ones pass by. No size is measured; one plan serves all vocabularies.
     """
-    counts = word_counts(texts, text_column)
-    order = [F.desc("word_count"), F.asc("word")]
+    counts = materialise(word_counts(texts, text_column), "word-counts")
     is_frequent = F.col("word_count") >= min_word_freq
-    if is_small_text(texts, text_column) if small is None else small:
-        # Rare words sort behind all frequent ones, so ranking them too
-        # changes no id.
-        rank = F.row_number().over(Window.orderBy(*order))
-        return counts.select("word", F.when(is_frequent, rank).otherwise(0).alias("word_idx"))
-    counts = materialise(counts, "word-counts")
+    order = [F.desc("word_count"), F.asc("word")]
     frequent = rank_in_ranges(counts.where(is_frequent), order, "word_idx")
     rare = counts.where(~is_frequent).select("word", F.lit(0).alias("word_idx"))
     return frequent.select("word", F.col("word_idx").cast("int")).unionByName(rare)
@@ -71,19 +48,13 @@ def name_tokens(products: DataFrame, text_column: str = "product_name") -> DataF
 
 
 def encode_names(
-    products: DataFrame,
-    index: DataFrame,
-    text_column: str = "product_name",
-    broadcast_index: bool = False,
+    products: DataFrame, index: DataFrame, text_column: str = "product_name"
 ) -> DataFrame:
     """(product_id, product_name_encoded): word ids in name order, as text.
 
-    Words outside the index leave no id; a name without words is "0".
-    ``broadcast_index`` is for an index proven small; otherwise Catalyst and
-    AQE go by its size, and a shuffled join splits frequent words.
+    Words outside the index leave no id; a name without words is "0". Catalyst and
+    AQE go by the index's size, and a shuffled join splits frequent words.
     """
-    if broadcast_index:
-        index = F.broadcast(index)
     tokens = name_tokens(products, text_column).join(index, "word", "left")
     has_id = F.col("word_idx").isNotNull()
     encoded = tokens.groupBy("product_id").agg(

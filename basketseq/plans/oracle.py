@@ -382,29 +382,41 @@ JOIN {_distinct(key, "idx = n")} t ON u.user_id = t.user_id
 """
 
 
-_COUNTS = " UNION ALL ".join(
-    f"SELECT '{name}' AS dataset, count(*) AS row_count FROM {source}"
-    for name, source in {
-        "orders": "m_orders",
-        "products": "m_products",
-        "order_products__prior": "(SELECT * FROM m_items WHERE eval_set = 'prior')",
-        "order_products__train": "(SELECT * FROM m_items WHERE eval_set = 'train')",
-        "aisles": "(SELECT DISTINCT aisle_id FROM m_products)",
-        "departments": "(SELECT DISTINCT department_id FROM m_products)",
-    }.items()
-)
-_SAMPLED_COUNTS = " UNION ALL ".join(
-    f"SELECT '{name}' AS dataset, count(*) AS row_count FROM {source}"
-    for name, source in {
-        "orders": "m_sampled",
-        "products": "m_products",
-        "order_products__prior": "(SELECT * FROM m_items WHERE eval_set = 'prior'"
-        " AND order_id IN (SELECT order_id FROM m_sampled))",
-        "order_products__train": "(SELECT * FROM m_items WHERE eval_set = 'train'"
-        " AND order_id IN (SELECT order_id FROM m_sampled))",
-        "aisles": "(SELECT DISTINCT aisle_id FROM m_products)",
-        "departments": "(SELECT DISTINCT department_id FROM m_products)",
-    }.items()
+def _table_values(orders: str, items: str) -> str:
+    """Every row of the six source tables as text."""
+    of_item = ["order_id", "product_id", "add_to_cart_order", "reordered"]
+    tables = {
+        "orders": (
+            [
+                "order_id", "user_id", "eval_set", "order_number", "order_dow",
+                "order_hour_of_day", "CAST(days_since_prior_order AS BIGINT)",
+            ],
+            orders,
+        ),
+        "products": (["product_id", "product_name", "aisle_id", "department_id"], "m_products"),
+        "order_products__prior": (of_item, f"({items} WHERE eval_set = 'prior')"),
+        "order_products__train": (of_item, f"({items} WHERE eval_set = 'train')"),
+        "aisles": (
+            ["aisle_id", "'aisle ' || aisle_id"],
+            "(SELECT DISTINCT aisle_id FROM m_products)",
+        ),
+        "departments": (
+            ["department_id", "'department ' || department_id"],
+            "(SELECT DISTINCT department_id FROM m_products)",
+        ),
+    }
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS dataset, concat_ws('|', "
+        + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '-')" for c in columns)
+        + f") AS row_values FROM {source}"
+        for name, (columns, source) in tables.items()
+    )
+
+
+_VALUES = _table_values("m_orders", "SELECT * FROM m_items")
+_SAMPLED_VALUES = _table_values(
+    "m_sampled",
+    "SELECT * FROM (SELECT * FROM m_items WHERE order_id IN (SELECT order_id FROM m_sampled))",
 )
 _SAMPLED = "m_sampled AS (SELECT * FROM m_orders WHERE user_id IN (SELECT user_id FROM m_draw))"
 _USER_COLUMNS = (
@@ -415,13 +427,43 @@ _FREQUENT_INDEX = "m_frequent AS (SELECT * FROM m_index WHERE word_idx > 0)"
 _ITEM = "order_id, product_id, add_to_cart_order, reordered"
 
 
+def _newest(text: str, length: int) -> str:
+    words = f"string_split({text}, ' ')"
+    return f"array_to_string({words}[greatest(len({words}) - {length}, 0) + 1:], ' ')"
+
+
+def _changed_model(old: str, new: str, select: str) -> str:
+    """A query over the model with one of its definitions changed."""
+    query = _model(select)
+    if old not in query:
+        raise ValueError(f"the model has no {old!r}")
+    return query.replace(old, new)
+
+
+def _with_test_items(select: str) -> str:
+    return _changed_model("FROM m_lines WHERE eval_set IN ('prior', 'train')", "FROM m_lines", select)
+
+
+def _declared_target(select: str) -> str:
+    """Tagged orders without items count as empty baskets."""
+    old = "  FROM m_pos GROUP BY user_id, order_id\n),"
+    new = """  FROM m_pos GROUP BY user_id, order_id
+  UNION ALL
+  SELECT user_id, order_id, order_number, order_dow, order_hour_of_day,
+         CAST(coalesce(days_since_prior_order, -1) AS INTEGER), eval_set, '', '', '', ''
+  FROM m_orders
+  WHERE eval_set <> 'prior' AND order_id NOT IN (SELECT order_id FROM m_pos)
+),"""
+    return _changed_model(old, new, select)
+
+
 def oracle_sql() -> dict[str, str]:
-    """SQL per registered query; layout diagnostics have none."""
+    """SQL per registered query."""
     return {
         "s1_csv_scan": _model(f"SELECT {_BRONZE_TYPES} FROM m_orders"),
         "s2_parquet_scan": _model("SELECT * FROM m_products"),
         "s3_parquet_sink": _model("SELECT * FROM m_products"),
-        "s4_typed_ingest": _model(_COUNTS),
+        "s4_typed_ingest": _model(_VALUES),
         "s5_source_tables": _model(f"SELECT {_NARROW_ITEM} FROM m_joined"),
         "s6_split_tags": _model("SELECT * FROM m_tags"),
         "c1_fill_and_cast": _model(
@@ -525,6 +567,30 @@ def oracle_sql() -> dict[str, str]:
         "p5_position": _model(
             "SELECT user_id, product_id, position_in_order_history FROM m_product_history"
         ),
+        "p_product_history_spread": _model("SELECT * FROM m_product_history"),
+        "g_aisle_history_spread": _model(_AISLE_HISTORY.format(departments="m_aisle_departments")),
+        "g_mixed_aisles": _model(
+            "SELECT aisle_id, count(*) AS n_departments FROM m_mixed_departments "
+            "GROUP BY aisle_id HAVING count(*) > 1"
+        ),
+        "q4_pad_last": _model(
+            f"SELECT user_id, {_padded(_newest('order_numbers', q.SHORT_LENGTH), q.SHORT_LENGTH)} "
+            "AS padded FROM m_users"
+        ),
+        "a3_user_sequences_with_test": _with_test_items(
+            "SELECT user_id, order_ids, product_ids, reorders, eval_set FROM m_users"
+        ),
+        "a4_declared_target": _declared_target(
+            "SELECT user_id, order_ids, product_ids, eval_set FROM m_users"
+        ),
+        "d2_partition_distribution": _model(
+            "SELECT count(*) AS n_rows, true AS ids_differ, true AS all_filled FROM m_baskets"
+        ),
+        "d3_partition_summary": _model(
+            "SELECT CAST(8 AS INTEGER) AS n_partitions, count(*) AS n_rows, "
+            "greatest(count(*) FILTER (order_id % 2 = 0), count(*) FILTER (order_id % 2 = 1)) "
+            "AS max_rows, CAST(0 AS BIGINT) AS min_rows FROM m_baskets"
+        ),
         "p_product_history": _model("SELECT * FROM m_product_history"),
         "n_none_history": _model("SELECT * FROM m_none_history"),
         "g_aisle_history": _model(_AISLE_HISTORY.format(departments="m_aisle_departments")),
@@ -583,7 +649,7 @@ def oracle_sql() -> dict[str, str]:
             _DRAW,
             _SAMPLED,
         ),
-        "m5_sampled_dataset": _model(_SAMPLED_COUNTS, _DRAW, _SAMPLED),
+        "m5_sampled_dataset": _model(_SAMPLED_VALUES, _DRAW, _SAMPLED),
         "d1_join_counts": _model(
             "SELECT (SELECT count(*) FROM m_joined) AS joined_count, "
             "(SELECT count(*) FROM m_items) AS raw_count"

@@ -1,6 +1,8 @@
 """The registered queries: one per operator of the feature pipeline.
 
-Every query starts from the star-schema tables and runs over all their rows.
+Every query starts from the star-schema tables. The model has items of prior and
+train orders only (as a source of two item files has), so item rows of test orders
+take no part; ``a3_user_sequences_with_test`` takes them in as well.
 Array results are emitted as text so that they compare across engines.
 """
 
@@ -52,12 +54,12 @@ def query(build: Query) -> Query:
 class Model:
     """The pipeline's frames over one folder of tables, built when asked for."""
 
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder
+    def __init__(self, spark: SparkSession, folder: str, test_items: bool = False):
+        self.spark, self.folder, self.test_items = spark, folder, test_items
 
     @functools.cached_property
     def tables(self) -> files.SourceTables:
-        return star_schema.star_schema_tables(self.spark, self.folder)
+        return star_schema.star_schema_tables(self.spark, self.folder, self.test_items)
 
     @property
     def orders(self) -> DataFrame:
@@ -117,8 +119,22 @@ def arrays_as_text(df: DataFrame) -> DataFrame:
     return df.withColumns(texts) if texts else df
 
 
+def _state(spark: SparkSession, folder: str) -> tuple:
+    """The session, and the files below the model with their sizes and times: what
+    is cached for one state serves no other."""
+    files_found = []
+    for name in ("orders", "lineitem", "part"):
+        path = spark._jvm.org.apache.hadoop.fs.Path(files.child(folder, f"{name}.parquet"))
+        system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        for status in system.listStatus(path):
+            files_found.append(
+                (status.getPath().toString(), status.getLen(), status.getModificationTime())
+            )
+    return spark.sparkContext.applicationId, tuple(files_found)
+
+
 @functools.cache
-def _csv_source(application_id: str, spark: SparkSession, folder: str) -> str:
+def _csv_source(state: tuple, spark: SparkSession, folder: str) -> str:
     """The six source tables as CSV below the shared folder, written once."""
     model, target = Model(spark, folder), new_folder(spark, "csv")
     frames = {
@@ -135,14 +151,14 @@ def _csv_source(application_id: str, spark: SparkSession, folder: str) -> str:
 
 
 @functools.cache
-def _bronze(application_id: str, spark: SparkSession, folder: str) -> str:
+def _bronze(state: tuple, spark: SparkSession, folder: str) -> str:
     target = new_folder(spark, "bronze")
     files.ingest_csv_tables(spark, csv_source(spark, folder), target)
     return target
 
 
 @functools.cache
-def _job_tables(application_id: str, spark: SparkSession, folder: str) -> str:
+def _job_tables(state: tuple, spark: SparkSession, folder: str) -> str:
     """Runs the stored-table jobs in order: text tables throughout."""
     raw, out = bronze(spark, folder), new_folder(spark, "jobs")
     jobs.build_order_products(spark, raw, out, check_joins=True)
@@ -158,15 +174,15 @@ def _job_tables(application_id: str, spark: SparkSession, folder: str) -> str:
 
 
 def csv_source(spark: SparkSession, folder: str) -> str:
-    return _csv_source(spark.sparkContext.applicationId, spark, folder)
+    return _csv_source(_state(spark, folder), spark, folder)
 
 
 def bronze(spark: SparkSession, folder: str) -> str:
-    return _bronze(spark.sparkContext.applicationId, spark, folder)
+    return _bronze(_state(spark, folder), spark, folder)
 
 
 def job_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    tables = _job_tables(spark.sparkContext.applicationId, spark, folder)
+    tables = _job_tables(_state(spark, folder), spark, folder)
     return files.read_parquet(spark, files.child(tables, name))
 
 
@@ -193,12 +209,35 @@ def s3_parquet_sink(spark, folder):
 
 @query
 def s4_typed_ingest(spark, folder):
+    """All values of the six tables, one row of text each."""
     target = bronze(spark, folder)
-    return enrich.row_counts(
-        **{t: files.read_parquet(spark, files.child(target, t)) for t in schemas.SOURCE_TABLES}
+    return _values(
+        {t: files.read_parquet(spark, files.child(target, t)) for t in schemas.SOURCE_TABLES}
     )
 
 
+def _values(tables: dict[str, DataFrame]) -> DataFrame:
+    """(dataset, row_values): every row of several tables as text."""
+    parts = [
+        table.select(
+            F.lit(name).alias("dataset"),
+            F.concat_ws(
+                "|",
+                *[
+                    # Gaps are whole days; doubles print differently per engine.
+                    F.coalesce(
+                        (F.col(c).cast("bigint") if t == "double" else F.col(c)).cast("string"),
+                        F.lit("-"),
+                    )
+                    for c, t in table.dtypes
+                ],
+            ).alias("row_values"),
+        )
+        for name, table in tables.items()
+    ]
+    return functools.reduce(DataFrame.unionAll, parts)
+
+
 @query
 def s5_source_tables(spark, folder):
     tables = files.load_source_tables(spark, bronze(spark, folder))
@@ -285,7 +324,7 @@ def j6_token_ids(spark, folder):
 def j7_document_words(spark, folder):
     """Documents as names, frequent words only as index, no broadcast."""
     documents = Model(spark, folder).documents
-    index = vocabulary.word_index(documents, MIN_DOCUMENT_WORD_FREQ, small=False)
+    index = vocabulary.word_index(documents, MIN_DOCUMENT_WORD_FREQ)
     return vocabulary.encode_names(documents, index.where("word_idx > 0"))
 
 
@@ -327,6 +366,21 @@ def a3_user_sequences(spark, folder):
     return Model(spark, folder).users_text
 
 
+@query
+def a3_user_sequences_with_test(spark, folder):
+    """Test orders with items: they are the target, and their split is known."""
+    model = Model(spark, folder, test_items=True)
+    return model.users_text.select("user_id", "order_ids", "product_ids", "reorders", "eval_set")
+
+
+@query
+def a4_declared_target(spark, folder):
+    """The tagged order is the target also where it has no items."""
+    model = Model(spark, folder)
+    users = baskets.user_sequences(baskets.declared_targets(model.baskets, model.orders))
+    return baskets.sequence_text(users).select("user_id", "order_ids", "product_ids", "eval_set")
+
+
 @query
 def a4_last_eval_set(spark, folder):
     return Model(spark, folder).users.select("user_id", "eval_set")
@@ -414,6 +468,14 @@ def q4_pad(spark, folder):
     )
 
 
+@query
+def q4_pad_last(spark, folder):
+    numbers = F.col("order_numbers")
+    return Model(spark, folder).users.select(
+        "user_id", encode_flat(pad(numbers, SHORT_LENGTH, keep="last")).alias("padded")
+    )
+
+
 @query
 def p1_history_order_size(spark, folder):
     return Model(spark, folder).product_history.select(
@@ -445,6 +507,26 @@ def p_product_history(spark, folder):
     return Model(spark, folder).product_history
 
 
+@query
+def p_product_history_spread(spark, folder):
+    """Every user on the path for large users."""
+    model = Model(spark, folder)
+    return history.product_history(
+        model.users, model.tags, model.products, large_user_items=0
+    )
+
+
+@query
+def g_aisle_history_spread(spark, folder):
+    model = Model(spark, folder)
+    return history.aisle_history(model.users, model.products, large_user_items=0)
+
+
+@query
+def g_mixed_aisles(spark, folder):
+    return history.mixed_aisles(star_schema.products_with_mixed_aisles(spark, folder))
+
+
 @query
 def n_none_history(spark, folder):
     return Model(spark, folder).none_history
@@ -476,9 +558,7 @@ def v1_word_index(spark, folder):
 
 @query
 def v1_document_word_index(spark, folder):
-    return vocabulary.word_index(
-        Model(spark, folder).documents, MIN_DOCUMENT_WORD_FREQ, small=False
-    )
+    return vocabulary.word_index(Model(spark, folder).documents, MIN_DOCUMENT_WORD_FREQ)
 
 
 @query
@@ -596,11 +676,11 @@ def m4_sampled_items(spark, folder):
 
 @query
 def m5_sampled_dataset(spark, folder):
-    """Row counts of the six tables the sampling job writes."""
+    """All values of the six tables the sampling job writes."""
     target = new_folder(spark, "sample")
     sampling.sample_dataset(spark, csv_source(spark, folder), target, SAMPLE_USERS, SAMPLE_SEED)
-    return enrich.row_counts(
-        **{
+    return _values(
+        {
             t: files.read_csv(spark, files.child(target, f"{t}.csv"), schema)
             for t, schema in schemas.SOURCE_TABLES.items()
         }
@@ -620,9 +700,19 @@ def d1_join_counts(spark, folder):
 
 @query
 def d2_partition_distribution(spark, folder):
-    return diagnostics.partition_distribution(Model(spark, folder).baskets)
+    """What holds for any layout: all rows are counted, each partition once."""
+    layout = diagnostics.partition_distribution(Model(spark, folder).baskets)
+    return layout.agg(
+        F.sum("row_count").alias("n_rows"),
+        (F.count_distinct("partition_id") == F.count("partition_id")).alias("ids_differ"),
+        (F.min("row_count") > 0).alias("all_filled"),
+    )
 
 
 @query
 def d3_partition_summary(spark, folder):
-    return diagnostics.partition_summary(Model(spark, folder).baskets)
+    """Of baskets dealt out by a known rule: odd and even orders, six partitions empty."""
+    known = Model(spark, folder).baskets.select("order_id").repartitionById(
+        8, F.pmod("order_id", F.lit(2)).cast("int")
+    )
+    return diagnostics.partition_summary(known)

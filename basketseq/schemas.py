@@ -6,6 +6,8 @@ downstream readers expect, so they are spelled out literally.
 
 from __future__ import annotations
 
+import re
+
 ORDERS = (
     "order_id INT, user_id INT, eval_set STRING, order_number TINYINT, "
     "order_dow TINYINT, order_hour_of_day TINYINT, days_since_prior_order DOUBLE"
@@ -27,6 +29,11 @@ SOURCE_TABLES = {
     "aisles": AISLES,
     "departments": DEPARTMENTS,
 }
+# The same tables for data that outgrows the narrow types.
+WIDE_SOURCE_TABLES = {
+    table: re.sub(r"\b(INT|SMALLINT|TINYINT)\b", "BIGINT", schema)
+    for table, schema in SOURCE_TABLES.items()
+}
 ITEM_TABLES = ("order_products__prior", "order_products__train")
 LOOKUP_TABLES = ("aisles", "departments", "products")
 

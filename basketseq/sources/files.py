@@ -5,8 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.types import _parse_datatype_string
 
 from basketseq import schemas
+from basketseq.sources.shared import drop_folder
 
 
 def child(folder, name: str) -> str:
@@ -34,18 +36,44 @@ def write_parquet(df: DataFrame, path) -> None:
     df.write.parquet(str(path), mode="overwrite")
 
 
-def ingest_csv_tables(spark: SparkSession, input_dir, output_dir) -> dict[str, int]:
+def ingest_csv_tables(
+    spark: SparkSession,
+    input_dir,
+    output_dir,
+    source_tables: dict[str, str] = schemas.SOURCE_TABLES,
+    on_bad_cells: str = "raise",
+) -> dict[str, int]:
     """Typed CSV -> parquet for the six source tables; returns the row counts.
 
-    The counts are observed while the rows are written, so every file is read
-    once.
+    A cell that holds something but nothing of its column's type, such as an id
+    beyond 32 bits, is a bad cell. By default a table with bad cells raises and is
+    not left behind; ``on_bad_cells="null"`` writes it with nulls in their place.
+    ``schemas.WIDE_SOURCE_TABLES`` as ``source_tables`` takes any 64-bit value.
+
+    Rows and bad cells are observed while the rows are written, so every file is
+    read once.
     """
+    if on_bad_cells not in ("raise", "null"):
+        raise ValueError(f"on_bad_cells must be 'raise' or 'null', not {on_bad_cells!r}")
     counts = {}
-    for table, schema in schemas.SOURCE_TABLES.items():
+    for table, schema in source_tables.items():
         seen = Observation(f"ingest_{table}")
-        rows = read_csv(spark, child(input_dir, f"{table}.csv"), schema)
-        write_parquet(rows.observe(seen, F.count(F.lit(1)).alias("rows")), child(output_dir, table))
+        fields = _parse_datatype_string(schema).fields
+        text = ", ".join(f"{field.name} STRING" for field in fields)
+        cells = read_csv(spark, child(input_dir, f"{table}.csv"), text)
+        typed = {f.name: F.col(f.name).try_cast(f.dataType) for f in fields}
+        bad = [
+            F.count_if((F.trim(name) != "") & value.isNull()).alias(f"bad_{name}")
+            for name, value in typed.items()
+        ]
+        rows = cells.observe(seen, F.count(F.lit(1)).alias("rows"), *bad)
+        target = child(output_dir, table)
+        write_parquet(rows.select(*[value.alias(name) for name, value in typed.items()]), target)
         counts[table] = seen.get["rows"]
+        wrong = {name: seen.get[f"bad_{name}"] for name in typed if seen.get[f"bad_{name}"]}
+        if wrong and on_bad_cells == "raise":
+            drop_folder(spark, target)
+            raise ValueError(f"cells of {table} that do not fit their type, by column: {wrong}")
     return counts
 
 

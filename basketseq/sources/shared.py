@@ -23,6 +23,10 @@ def _local_folder(application_id: str) -> tempfile.TemporaryDirectory:
 
 def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        # One set on the context after the session began.
+        chosen = spark.sparkContext._jsc.sc().getCheckpointDir()
+        folder = chosen.get() if chosen.isDefined() else None
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
@@ -35,6 +39,12 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a table that nothing reads any more, wherever it lies."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(str(path))
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 

@@ -65,15 +65,20 @@ def items_model(spark: SparkSession, folder, orders: DataFrame) -> DataFrame:
     )
 
 
-def star_schema_tables(spark: SparkSession, folder) -> SourceTables:
-    """Items of test orders are left out, as in a two-file source."""
+def star_schema_tables(
+    spark: SparkSession, folder, test_items: bool = False
+) -> SourceTables:
+    """Items of test orders are left out, as in a two-file source, unless
+    ``test_items`` adds them to the prior ones."""
     orders = orders_model(spark, folder)
     items = items_model(spark, folder, orders)
     columns = ["order_id", "product_id", "add_to_cart_order", "reordered"]
     return SourceTables(
         orders=orders,
         products=products_model(spark, folder),
-        prior=items.where(F.col("eval_set") == "prior").select(columns),
+        prior=items.where(
+            F.col("eval_set").isin("prior", "test") if test_items else F.col("eval_set") == "prior"
+        ).select(columns),
         train=items.where(F.col("eval_set") == "train").select(columns),
     )
 

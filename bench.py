@@ -88,6 +88,9 @@ def main() -> None:
         "p_product_history_arrays": lambda: history.product_history(
             typed_users, tags, tables.products, as_text=False
         ),
+        "p_product_history_spread": lambda: history.product_history(
+            typed_users, tags, tables.products, as_text=False, large_user_items=0
+        ),
         "o4_product_history_all": lambda: history.product_history_with_none(
             users, tags, tables.products
         ),
@@ -102,12 +105,7 @@ def main() -> None:
             users, q.SEQUENCE_LENGTH
         ),
         "t4_aisle_training": lambda: training.aisle_training(aisles, q.AISLE_LENGTH),
-        "v1_word_index_one_window": lambda: vocabulary.word_index(
-            documents, q.MIN_DOCUMENT_WORD_FREQ, small=True
-        ),
-        "v1_word_index_ranges": lambda: vocabulary.word_index(
-            documents, q.MIN_DOCUMENT_WORD_FREQ, small=False
-        ),
+        "v1_word_index": lambda: vocabulary.word_index(documents, q.MIN_DOCUMENT_WORD_FREQ),
     }
     seconds = {}
     for name, build in headline.items():

@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -53,12 +55,93 @@ def test_large_users_take_the_spread_path_with_equal_rows(spark, rows, monkeypat
     tags = split_tags(tables.orders)
     usual = rows(history.product_history(users, tags, tables.products))
     aisles = rows(history.aisle_history(users, tables.products))
-    monkeypatch.setattr(history, "LARGE_USER_ITEMS", 3)
     monkeypatch.setattr(history, "CELLS_PER_CHUNK", 6)
     for some_users in (users, baskets.sequence_text(users)):
-        spread = history.product_history(some_users, tags, tables.products)
+        spread = history.product_history(some_users, tags, tables.products, large_user_items=3)
         assert rows(spread) == usual
-        assert rows(history.aisle_history(some_users, tables.products)) == aisles
+        spread = history.aisle_history(some_users, tables.products, large_user_items=3)
+        assert rows(spread) == aisles
+
+
+def test_a_user_of_many_orders_ends_in_time(spark):
+    """80,000 orders with a new product each: linear, so seconds."""
+    users = spark.range(1).select(
+        F.expr("transform(sequence(1, 80000), i -> array(i, 1))").alias("past"),
+        F.expr("sequence(1, 80000)").alias("first_orders"),
+    )
+    start = time.monotonic()
+    overlaps = users.select(history.order_overlaps("past", "first_orders").alias("n")).first()["n"]
+    assert time.monotonic() - start < 20
+    assert overlaps == [0, *[1] * 79_999]
+
+
+def test_a_user_of_many_items_ends_in_time(spark):
+    """24,000 items over 60 products: every row is there, within a minute."""
+    users = spark.range(1).select(
+        F.lit(1).cast("long").alias("user_id"),
+        F.expr("transform(sequence(1, 8000), i -> array(i % 60, (i * 7) % 60, (i * 11) % 60))").alias("product_ids"),
+        F.lit("train").alias("eval_set"),
+        *[F.array(F.lit(1)).alias(name) for name in schemas.TEMPORAL],
+    )
+    tags = spark.createDataFrame([(1, "train")], "user_id bigint, target_eval_set string")
+    products = spark.createDataFrame([], schemas.PRODUCTS)
+    start = time.monotonic()
+    got = history.product_history(users, tags, products, as_text=False)
+    sizes = got.select(F.size("position_in_order_history"), "history_reorder_size").collect()
+    assert time.monotonic() - start < 60
+    assert len(sizes) == 60 and {r[0] for r in sizes} == {7999}
+
+
+@pytest.mark.parametrize("bad", ["x", ""])
+def test_overlaps_start_at_zero_beside_a_token_that_is_no_number(spark, rows, bad):
+    users = spark.createDataFrame(
+        [(1, f"{bad}_5 5_6 5 7", "0_0 1_0 1 0", "1_1 1_1 1 1", "train", "0 1 2 3", "5 6 7 8", "-1 3 4 5", "1 2 3 4")],
+        USER,
+    )
+    tags = spark.createDataFrame([(1, "train")], "user_id bigint, target_eval_set string")
+    products = spark.createDataFrame([], schemas.PRODUCTS)
+    for bound in (history.LARGE_USER_ITEMS, 0):
+        got = rows(history.product_history(users, tags, products, large_user_items=bound))
+        assert {r["history_reorder_size"] for r in got} == {"0 1 1"}
+
+
+def test_ids_beyond_32_bits_fail_or_make_pairs(spark, rows):
+    users = spark.createDataFrame(
+        [(1, "3000000000_5 5_6 5 7", "0_0 1_0 1 0", "1_1 1_1 1 1", "train", "0 1 2 3", "5 6 7 8", "-1 3 4 5", "1 2 3 4")],
+        USER,
+    )
+    tags = spark.createDataFrame([(1, "train")], "user_id bigint, target_eval_set string")
+    products = spark.createDataFrame([], schemas.PRODUCTS)
+    with pytest.raises(Exception, match="CAST_OVERFLOW|overflow"):
+        history.product_history(users, tags, products).collect()
+    wide = rows(history.product_history(users, tags, products, item_type="bigint"))
+    assert {r["product_id"] for r in wide} == {3000000000, 5, 6}
+
+
+def test_declared_targets(spark, rows):
+    source = brute.random_source(7, n_users=30)
+    tables = source_tables(spark, source)
+    filled = baskets.order_baskets(enrich.enriched_items(tables))
+    users = baskets.user_sequences(baskets.declared_targets(filled, tables.orders))
+    got = {r["user_id"]: r for r in rows(users)}
+    with_items = {r[0] for r in source["prior"] + source["train"]}
+    missing = [o for o in source["orders"] if o[2] != "prior" and o[0] not in with_items]
+    assert missing
+    for order_id, user, split, *_ in missing:
+        assert got[user]["eval_set"] == split
+        assert got[user]["order_ids"][-1] == str(order_id) and got[user]["product_ids"][-1] == []
+    tags = split_tags(tables.orders)
+    labels = {r["user_id"]: r["label"] for r in rows(history.none_history(users, tags))}
+    for _, user, split, *_ in missing:
+        assert labels[user] == (1 if split == "train" else -1)
+
+
+def test_mixed_aisles(spark, rows):
+    products = spark.createDataFrame([(1, "a", 3, 1), (2, "b", 3, 2), (3, "c", 4, 1)], schemas.PRODUCTS)
+    assert rows(history.mixed_aisles(products)) == [{"aisle_id": 3, "n_departments": 2}]
+    with pytest.raises(ValueError, match="1 aisles lie in several departments, the first is 3"):
+        history.check_aisles(products)
+    history.check_aisles(products.where("product_id <> 2"))
 
 
 def test_arrays_and_text_hold_the_same(spark, rows):

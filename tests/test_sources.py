@@ -44,6 +44,42 @@ def test_bad_cells_become_null(spark, tmp_path):
     assert row["days_since_prior_order"] is None
 
 
+ORDERS_HEADER = (
+    "order_id,user_id,eval_set,order_number,order_dow,order_hour_of_day,days_since_prior_order\n"
+)
+
+
+@pytest.mark.parametrize(
+    ("table", "line", "column"),
+    [
+        ("orders", "3000000000,2,prior,1,3,4,5.0", "order_id"),
+        ("orders", "1,2,prior,128,3,4,", "order_number"),
+        ("order_products__prior", "1,3000000000,1,0", "product_id"),
+        ("products", "1,name,x,1", "aisle_id"),
+    ],
+)
+def test_ingest_raises_on_cells_that_do_not_fit(spark, tmp_path, table, line, column):
+    write_source_csv(spark, random_source(1), tmp_path / "raw")
+    header = ORDERS_HEADER if table == "orders" else {
+        "order_products__prior": "order_id,product_id,add_to_cart_order,reordered\n",
+        "products": "product_id,product_name,aisle_id,department_id\n",
+    }[table]
+    extra = tmp_path / "raw" / f"{table}.csv" / "more.csv"
+    extra.write_text(header + line + "\n")
+    with pytest.raises(ValueError, match=f"cells of {table} .*'{column}': 1"):
+        files.ingest_csv_tables(spark, tmp_path / "raw", tmp_path / "bronze")
+    assert not (tmp_path / "bronze" / table).exists()
+    files.ingest_csv_tables(spark, tmp_path / "raw", tmp_path / "nulls", on_bad_cells="null")
+    assert files.read_parquet(spark, tmp_path / "nulls" / table).where(f"{column} is null").count() == 1
+    if table != "products":
+        wide = schemas.WIDE_SOURCE_TABLES
+        files.ingest_csv_tables(spark, tmp_path / "raw", tmp_path / "wide", wide)
+        value = max(int(v) for v in line.split(",") if v.isdigit())
+        stored = files.read_parquet(spark, tmp_path / "wide" / table)
+        assert dict(stored.dtypes)[column] == "bigint"
+        assert stored.where(f"{column} = {value}").count() == 1
+
+
 def test_schema_is_inferred_without_contract(spark, tmp_path):
     path = tmp_path / "t.csv"
     path.write_text("a,b\n1,x\n")

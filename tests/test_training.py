@@ -1,6 +1,7 @@
 import pytest
 
 from basketseq import schemas
+from basketseq.functions.sequences import pad
 from basketseq.operators import baskets, enrich, history, reorder_size, training, vocabulary
 from basketseq.operators.ranking import rank_in_ranges
 from basketseq.sources.files import split_tags
@@ -55,21 +56,19 @@ NAMES = [
 ]
 
 
-@pytest.mark.parametrize("small", [True, False, None])
-def test_word_index(spark, small):
+def test_word_index(spark):
     products = spark.createDataFrame(NAMES, "product_id int, product_name string")
-    index = vocabulary.word_index(products, 2, small=small)
+    index = vocabulary.word_index(products, 2)
     assert index.dtypes == [("word", "string"), ("word_idx", "int")]
     got = {r["word"]: r["word_idx"] for r in index.collect()}
     assert got == {"green": 1, "pepper": 2, "tea": 3, "black": 0, "saffron": 0}
     assert got == brute.vocabulary([name for _, name in NAMES], 2)
 
 
-@pytest.mark.parametrize("broadcast_index", [True, False])
-def test_encode_names(spark, rows, broadcast_index):
+def test_encode_names(spark, rows):
     products = spark.createDataFrame([*NAMES, (9, "tea"), (9, "green tea")], "product_id int, product_name string")
     index = spark.createDataFrame([("green", 1), ("pepper", 2), ("tea", 3), ("black", 0)], "word string, word_idx int")
-    got = [tuple(r.values()) for r in rows(vocabulary.encode_names(products, index, broadcast_index=broadcast_index))]
+    got = [tuple(r.values()) for r in rows(vocabulary.encode_names(products, index))]
     assert got == [
         (1, "1 3"),
         (2, "1 2"),
@@ -95,9 +94,25 @@ def test_rank_in_ranges_equals_row_number(spark):
     assert sorted(r["r"] for r in ranked) == list(range(1, 2001))
 
 
-@pytest.mark.parametrize("small_chars", [vocabulary.SMALL_TEXT_CHARS, 0])
-def test_product_training(spark, monkeypatch, small_chars):
-    monkeypatch.setattr(vocabulary, "SMALL_TEXT_CHARS", small_chars)
+@pytest.mark.parametrize("stored", [True, False])
+def test_missing_sequences_are_all_zeros(spark, stored):
+    """A null sequence pads to zeros, whichever form the table stores."""
+    dtype = "string" if stored else "array<int>"
+    names = ["order_sizes", "reorder_sizes", *schemas.TEMPORAL]
+    df = spark.createDataFrame([(1, *[None] * 6)], "user_id int, " + ", ".join(f"{n} {dtype}" for n in names))
+    row = training.pad_reorder_sizes(df, 3).first()
+    assert all(row[name] == [0, 0, 0] for name in names) and row["history_length"] == 0
+
+
+def test_padding_can_keep_the_newest(spark):
+    df = spark.createDataFrame([([1, 2, 3, 4],), ([5],), ([],)], "v array<int>")
+    newest = [r[0] for r in df.select(pad(F.col("v"), 3, keep="last")).collect()]
+    assert newest == [[2, 3, 4], [5, 0, 0], [0, 0, 0]]
+    with pytest.raises(ValueError, match="keep must be"):
+        pad(F.col("v"), 3, keep="middle")
+
+
+def test_product_training(spark):
     source = brute.random_source(4)
     tables = source_tables(spark, source)
     users = baskets.user_sequences(baskets.order_baskets(enrich.enriched_items(tables)))
