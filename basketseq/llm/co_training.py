@@ -211,15 +211,15 @@ def exchanged_sums(features: DataFrame, models: Models) -> dict[str, np.ndarray]
     return out
 
 
-def co_trained(features: DataFrame, labels: DataFrame, label_col: str) -> Models:
-    """The models of a table (id, text, meta) and labels (id, ``label_col``)."""
-    known = labels.where(F.col(label_col).isin(0, 1) & F.col("id").isNotNull())
+def co_trained(features: DataFrame, labels: DataFrame) -> Models:
+    """The models of a table (id, text, meta) and labels (id, y)."""
+    known = labels.where("y in (0, 1) and id is not null")
     spread = F.pmod(F.xxhash64("id"), F.lit(1 << 20))
     share = min(1.0, 0.9 * MAX_LABELLED / max(1, known.count()))
     drawn = (
         known.where(spread < share * (1 << 20))
         .join(features, "id")
-        .select("text", "meta", F.col(label_col).cast("int").alias("y"), spread.alias("at"))
+        .select("text", "meta", F.col("y").cast("int"), spread.alias("at"))
         .limit(MAX_LABELLED)
         .toPandas()
         .sort_values(["at", "y"], kind="stable")
@@ -268,7 +268,8 @@ def with_scores(
         ).select("row", "id", "v.*"),
         "features",
     )
-    models = co_trained(features, labels.withColumnRenamed(id_col, "id"), label_col)
+    known = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("y"))
+    models = co_trained(features, known)
 
     @F.pandas_udf(SCORES)
     def scored(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:

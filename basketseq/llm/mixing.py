@@ -136,7 +136,7 @@ def mixed_words(
         (epochs * F.col("size") + last).cast("long").alias("taken"),
     )
     # Texts move once, after all else is decided.
-    return taken.join(sized.select("at", "row"), "at") if keep_rows else taken
+    return (taken.join(sized.select("at", "row"), "at") if keep_rows else taken).drop("at")
 
 
 def mixed_documents(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:

@@ -49,7 +49,7 @@ PATTERNS = {
     r"[A-Za-z0-9_\-]{16,256}",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"
     r"(?![A-Za-z0-9])",
-    "date": r"(?<![0-9])(?<![0-9][.\-/])(?:[0-9]{4}([\-/.])[0-9]{2}[\-/.][0-9]{2}"
+    "date": r"(?<![0-9])(?<![0-9][.\-/])(?:[0-9]{4}[\-/.][0-9]{2}[\-/.][0-9]{2}"
     r"|[0-9]{2}[\-/.][0-9]{2}[\-/.][0-9]{4})(?![0-9]|[.\-/][0-9])",
     "ipv4": r"(?<![0-9])(?<![0-9][.])(?:[0-9]{1,3}[.]){3}[0-9]{1,3}(?![0-9]|[.][0-9])",
     "card": r"(?<![0-9])(?<![0-9][.,])(?:[0-9]{13,19}"
@@ -59,8 +59,7 @@ PATTERNS = {
     "phone": r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .\-]?\(?[0-9]{1,4}\)?(?:[ .\-]?[0-9]{2,4}){1,4}"
     r"|(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[.\-])[2-9][0-9]{2}[.\-][0-9]{4})(?![0-9])",
 }
-ANY = "|".join(f"(?:{pattern})" for pattern in PATTERNS.values()).replace("([\\-/.])", "[\\-/.]")
-KINDS = tuple(PATTERNS)
+ANY = "|".join(f"(?:{pattern})" for pattern in PATTERNS.values())
 
 CARD_START = r"^(?:4|5[1-5]|2[2-7]|3[0-9]|6[0-9])"
 FIRST_DAY, DAYS = "1900-01-01", 73_049  # to 2099-12-31

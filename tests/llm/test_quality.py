@@ -73,7 +73,7 @@ def test_edge_rows(spark):
         (edge.words(500, 3), True),
         # No window occurs twice, but the letters do: only compression shows it.
         (" ".join(f"{i:06d}abcdefghijklmnopqrstuvwxyz" * 2 for i in range(400)), False),
-        ("".join(random.Random(1).choices([chr(c) for c in range(33, 591)] + [" "] * 40, k=9000)), False),
+        ("".join(random.Random(1).choices([chr(c) for c in range(33, 127)] + [" "], k=9000)), False),
         # A repetitive passage inside a long ordinary text.
         (edge.words(3000, 4) + " " + "".join(f"{i % 10}" for i in range(9000)) + edge.words(3000, 6), False),
     ],
