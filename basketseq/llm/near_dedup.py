@@ -7,19 +7,21 @@
    to their similarity.
 3. Independent trees branch the classes by chosen tokens. The choice depends on
    the node alone, so each class finds its own way down without a look at the
-   others. The first ``START_DEPTH`` levels are taken at once.
-4. Every node of two or more compares its members with its smallest one. What
-   this links is contracted to components.
-5. Nodes that still hold two components or more are compared exhaustively when
-   they are small and branch on when they are large: one token, or two for half
-   the nodes, so that a pair at the threshold survives each level more than once
-   on average (1.5 * 0.8 > 1) and the recall of a tree does not fade with depth.
-   What is large at ``MAX_DEPTH`` is compared exhaustively too, in blocks.
-6. Every link is confirmed on the full sets (64-bit shingle hashes).
+   others. The first ``START_DEPTH`` levels are taken at once. Nodes with the
+   same members in several trees are looked at once.
+4. A small node (``LEAF``, ``LEAF_SHINGLES``) is compared exhaustively, on the full
+   sets, within one task; only the links that hold its parts together leave the task.
+   Of larger nodes each member is compared with the smallest one at first. What
+   all this links is contracted to components.
+5. Large nodes that still hold two components or more branch on: by one token, or
+   by two for half the nodes, so that a pair at the threshold survives each level
+   more than once on average (1.5 * 0.8 > 1) and the recall of a tree does not fade
+   with depth. What is large at ``MAX_DEPTH`` is compared exhaustively, too, in
+   pairs of blocks.
 
 Trees are repeated until a pair exactly at the threshold is missed with a
 probability below 1 - ``RECALL`` (see ``trees_needed``); pairs above it are
-missed less often.
+missed less often. Every link is confirmed on full sets (64-bit shingle hashes).
 
 Defined results: a null text, an empty text and one without words have an empty
 set and link with nothing. A text of fewer words than a shingle is one shingle.
@@ -44,11 +46,14 @@ from basketseq.llm.words import LOWER_ASCII, mixed, shingle_set, utf8
 
 TOKENS = 96
 START_DEPTH = 3
-MAX_DEPTH = 12
-LEAF = 64
+MAX_DEPTH = 8
+#: A node is small, and compared within one task, up to this many members and
+#: this many shingles in all (8 bytes each).
+LEAF = 1_024
+LEAF_SHINGLES = 1 << 20
 RECALL = 0.999999
 #: Chance that a node branches by a second token.
-SECOND = 0.5
+SECOND = 0.25
 
 _RANDOM = np.random.default_rng(977)
 _MULTIPLY = _RANDOM.integers(1, 2**63, TOKENS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -177,39 +182,88 @@ def confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
     )
 
 
-def _open_nodes(members: DataFrame) -> DataFrame:
-    """Members of nodes that hold two components or more, with the node's size."""
-    sizes = (
+def joined_parts(sets: list[np.ndarray], percent: int) -> np.ndarray:
+    """For each set the place of the first one it is linked with, over others too.
+
+    Intersections are exact counts, by products of 0/1 matrices over the shingles
+    that occur in two sets or more, some thousand of them at a time.
+    """
+    n = len(sets)
+    sizes = np.array([len(s) for s in sets])
+    _, place, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(n), sizes)
+    shared = counts > 1
+    column = np.cumsum(shared) - 1
+    owner, column = owner[shared[place]], column[place][shared[place]]
+    common = np.zeros((n, n))
+    for start in range(0, int(shared.sum()), 4096):
+        here = (column >= start) & (column < start + 4096)
+        part = np.zeros((n, 4096), dtype=np.float32)
+        part[owner[here], column[here] - start] = 1
+        common += part @ part.T
+    linked = 100 * common >= percent * (sizes[:, None] + sizes[None, :] - common)
+    np.fill_diagonal(linked, True)
+    first = np.full(n, -1)
+    for i in range(n):
+        if first[i] < 0:
+            reached = linked[i]
+            while True:
+                more = linked[reached].any(axis=0)
+                if (more == reached).all():
+                    break
+                reached = more
+            first[reached] = i
+    return first
+
+
+def links_within(
+    members: DataFrame, texts: DataFrame, key: list[str], shingle: int, percent: int
+) -> DataFrame:
+    """Links (u, v) between the members of each node (or pair of blocks), found by
+    comparing all of them; as few as hold the linked ones together."""
+
+    def compare(node: pd.DataFrame) -> pd.DataFrame:
+        node = node.drop_duplicates("cls").sort_values("cls")
+        cls = node["cls"].to_numpy()
+        first = joined_parts([_set_of(text, shingle) for text in node["text"]], percent)
+        other = first != np.arange(len(first))
+        return pd.DataFrame({"u": cls[first][other], "v": cls[other]})
+
+    met = members.select(*key, "cls").join(texts, "cls")
+    return met.groupBy(*key).applyInPandas(compare, "u long, v long")
+
+
+def _small() -> str:
+    """Condition on a node's ``size`` and ``mass`` (its members' shingles)."""
+    return f"(size <= {LEAF} and mass <= {LEAF_SHINGLES})"
+
+
+def _large_open_nodes(members: DataFrame) -> DataFrame:
+    """Members, with the size, of the nodes that hold two components or more."""
+    nodes = (
         members.groupBy("node")
-        .agg(F.count("*").alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+        .agg(
+            F.count("*").alias("size"),
+            F.sum("n").alias("mass"),
+            F.min("comp").alias("lo"),
+            F.max("comp").alias("hi"),
+        )
         .where("lo <> hi")
     )
-    return members.join(sizes.select("node", "size"), "node")
+    return members.join(nodes.select("node", "size", "mass"), "node")
 
 
-def _cross_pairs(members: DataFrame, key: list[str], percent: int) -> DataFrame:
-    """Pairs within one key whose components differ. Keys are small nodes or block pairs."""
-    left = members.select(*key, *(F.col(c).alias(f"u_{c}") for c in ("cls", "n", "comp")))
-    right = members.select(*key, *(F.col(c).alias(f"v_{c}") for c in ("cls", "n", "comp")))
-    return (
-        left.join(right, key)
-        .where("u_cls < v_cls and u_comp <> v_comp")
-        .where(_sizes_fit("u_n", "v_n", percent))
-        .select(F.col("u_cls").alias("u"), F.col("v_cls").alias("v"))
-        .distinct()
+def _in_blocks(members: DataFrame) -> DataFrame:
+    """Members of large nodes, once for each pair of blocks that their own is in."""
+    blocks = F.expr(
+        f"cast(ceil(2 * greatest(size / {LEAF}, mass / {LEAF_SHINGLES})) as int)"
     )
-
-
-def _block_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """All pairs of large nodes: members in blocks of a leaf's size, block against block."""
-    blocks = F.expr(f"cast(ceil(size / {LEAF}) as int)")
     placed = members.withColumn("blocks", blocks).withColumn(
         "own", F.expr("cast(pmod(xxhash64(cls), blocks) as int)")
     )
-    dealt = placed.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
+    return placed.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
         "*", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi")
     )
-    return _cross_pairs(dealt, ["node", "lo", "hi"], percent)
 
 
 def near_duplicates(
@@ -253,12 +307,22 @@ def near_duplicates(
     nodes, nodes_path = scratch.write(
         starting_nodes(classes, trees_needed(percent / 100)), "nodes"
     )
-    leaders = (
+    groups = (
         nodes.groupBy("node")
-        .agg(F.count("*").alias("size"), F.min(F.struct("cls", "n")).alias("lead"))
+        .agg(
+            F.count("*").alias("size"),
+            F.sum("n").alias("mass"),
+            F.min(F.struct("cls", "n")).alias("lead"),
+            F.expr("bit_xor(xxhash64(cls))").alias("x"),
+            F.expr("bit_xor(xxhash64(cls, 1L))").alias("y"),
+        )
         .where("size > 1")
+        # Nodes of the same members: one of them will do.
+        .groupBy("size", "x", "y")
+        .agg(F.min("node").alias("node"), F.min("mass").alias("mass"), F.min("lead").alias("lead"))
+        .select("node", "size", "mass", "lead")
     )
-    shared, shared_path = scratch.write(nodes.join(leaders, "node"), "shared-nodes")
+    shared, shared_path = scratch.write(nodes.join(groups, "node"), "shared-nodes")
     scratch.drop(nodes_path)
     texts, texts_path = scratch.write(
         base.select(F.col("row").alias("cls"), F.col("doc").getField(text_col).alias("text")).join(
@@ -266,37 +330,46 @@ def near_duplicates(
         ),
         "candidates",
     )
+    # Of a node of two the star is all there is.
     star = (
-        shared.where("cls <> lead.cls")
+        shared.where(f"size = 2 or not {_small()}")
+        .where("cls <> lead.cls")
         .where(_sizes_fit("n", "lead.n", percent))
         .select(F.col("lead.cls").alias("u"), F.col("cls").alias("v"))
         .distinct()
     )
-    star, _ = scratch.write(star, "star-pairs")
-    links, _ = scratch.write(confirmed(star, texts, shingle, percent), "star-links")
+    small = shared.where(f"size > 2 and {_small()}")
+    found = confirmed(star, texts, shingle, percent).unionByName(
+        links_within(small, texts, ["node"], shingle, percent)
+    )
+    links, _ = scratch.write(found, "links")
     labels = components(links, scratch)
 
-    members = (
-        shared.where("size > 2")
-        .select("node", "cls", "n")
-        .join(labels.withColumnRenamed("u", "cls"), "cls", "left")
-        .select("node", "cls", "n", F.coalesce("v", "cls").alias("comp"))
+    members = shared.where(f"size > 2 and not {_small()}").select("node", "cls", "n")
+    known = labels.select(F.col("u").alias("cls"), F.col("v").alias("comp"))
+    members = members.join(known, "cls", "left").select(
+        "node", "cls", "n", F.coalesce("comp", "cls").alias("comp")
     )
-    pairs = None
+    more = []
     for depth in range(START_DEPTH, MAX_DEPTH + 1):
-        live, _ = scratch.write(_open_nodes(members), "open-nodes")
-        found = _cross_pairs(live.where(f"size <= {LEAF}"), ["node"], percent)
-        large = live.where(f"size > {LEAF}")
-        if depth == MAX_DEPTH:
-            found = found.unionByName(_block_pairs(large, percent))
-        pairs = found if pairs is None else pairs.unionByName(found)
-        if depth == MAX_DEPTH or large.isEmpty():
+        live, _ = scratch.write(_large_open_nodes(members), "open-nodes")
+        if live.isEmpty():
             break
-        members = child_nodes(large.join(classes.select("cls", "tokens"), "cls"))
-    pairs, _ = scratch.write(pairs.distinct().join(star, ["u", "v"], "left_anti"), "pairs")
-    if not pairs.isEmpty():
-        more, _ = scratch.write(confirmed(pairs, texts, shingle, percent), "links")
-        labels = components(links.unionByName(more), scratch)
+        if depth > START_DEPTH:
+            more.append(
+                links_within(live.where(_small()), texts, ["node"], shingle, percent)
+            )
+        large = live.where(f"not {_small()}")
+        if depth == MAX_DEPTH:
+            blocks = ["node", "lo", "hi"]
+            more.append(links_within(_in_blocks(large), texts, blocks, shingle, percent))
+        else:
+            children = child_nodes(large.join(classes.select("cls", "tokens"), "cls"))
+            members, _ = scratch.write(children, "children")
+    if more:
+        for part in more:
+            links = links.unionByName(part)
+        labels = components(scratch.write(links, "all-links")[0], scratch)
     scratch.drop(texts_path)
     scratch.drop(shared_path)
 

@@ -80,7 +80,7 @@ def test_equals_brute_force(spark, size, percent):
 
 
 def test_large_nodes_branch_and_end_in_blocks(spark, monkeypatch):
-    monkeypatch.setattr(near_dedup, "LEAF", 3)
+    monkeypatch.setattr(near_dedup, "LEAF", 4)
     monkeypatch.setattr(near_dedup, "MAX_DEPTH", 5)
     docs = spark.createDataFrame(random_docs(8, 3, 40, (3, 4, 5)), "doc_id long, text string")
     check(near_dedup.near_duplicates(docs, shingle=3, percent=85).collect(), 3, 85)
