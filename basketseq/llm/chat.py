@@ -1,4 +1,4 @@
-"""Chat formatting with loss masks aligned to token offsets.
+r"""Chat formatting with loss masks aligned to token offsets.
 
 A conversation is rendered as a whole, encoded once with character offsets, and
 the sorted spans of its turns are intersected with the sorted token spans by
@@ -7,10 +7,10 @@ each turn. Tokens of assistant texts carry the loss.
 
 Rendered form, with the two control strings ``<|turn|>`` and ``<|end|>``:
 
-    <|turn|>ROLE\\nTEXT<|end|>\\n      per turn
+    <|turn|>ROLE\nTEXT<|end|>\n      per turn
 
-Inside roles and texts ``\\`` becomes ``\\\\`` and ``<|`` becomes ``<\\|``, so no text
-can contain a control string; a line break inside a role becomes ``\\n``. Reading
+Inside roles and texts ``\`` becomes ``\\`` and ``<|`` becomes ``<\|``, so no text
+can contain a control string; a line break inside a role becomes ``\n``. Reading
 back undoes this exactly. The control strings are special tokens of the encoder,
 which never merges across them; the text after ROLE's line break may share a
 token with it, so a mask is kept as token span and character span: ``loss_spans``

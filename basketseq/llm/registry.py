@@ -199,6 +199,63 @@ FROM placed
 """
 
 
+OP6_SQL = r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+    FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+),
+sized AS (
+    SELECT *, length('<|turn|>') + length(replace(replace(replace(role, '', '\'), '<|', '<\|'),
+                                                  chr(10), '
+')) + 1
+              + length(replace(replace(text, '', '\'), '<|', '<\|')) + length('<|end|>') + 1
+              AS chars
+    FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), ''
+                         ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text)
+                       FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
+OP9_SQL = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^ 	-]+') AS w
+    FROM documents
+),
+sets AS (
+    SELECT doc_id, list_distinct(
+        CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1),
+                                                  lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+             WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+    FROM words
+),
+shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+links AS (
+    SELECT a.doc_id AS u, b.doc_id AS v
+    FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id
+    HAVING 100 * count(*) >= 85 * (min(a.n) + min(b.n) - count(*))
+),
+reached(u, v) AS (
+    SELECT doc_id, doc_id FROM documents
+    UNION
+    SELECT r.u, l.v FROM reached r JOIN links l ON r.v = l.u
+)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, c.component_id,
+       s.doc_id = c.component_id AS kept
+FROM sets s JOIN (SELECT u, min(v) AS component_id FROM reached GROUP BY u) c ON s.doc_id = c.u
+"""
+
+
 def queries() -> dict[str, Query]:
     ship_package()
     return {
@@ -219,4 +276,8 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_source_mixing": OP3_SQL}
+    return {
+        "op3_source_mixing": OP3_SQL,
+        "op6_chat_masks": OP6_SQL,
+        "op9_chosen_path_dedup": OP9_SQL,
+    }
