@@ -23,10 +23,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 from basketseq import schemas
 from basketseq.functions.sequences import (
     before_last,
+    empty_array,
     encode_flat,
     flag_sum,
+    flat_column,
     is_text,
     nested_column,
+    pad,
     scatter_sql,
 )
 
@@ -211,12 +214,16 @@ def _pairs(
 # --- columns ----------------------------------------------------------------
 
 
-def _in_form(sequence: Column, as_text: bool) -> Column:
+def _in_form(sequence: Column, as_text: bool, padded_to: int | None = None) -> Column:
+    if padded_to is not None:
+        return pad(F.coalesce(sequence, empty_array()), padded_to)
     return encode_flat(sequence) if as_text else sequence
 
 
-def _temporal(users: DataFrame, as_text: bool) -> dict[str, Column]:
-    """The temporal sequences in the wanted form, encoded once per user."""
+def _temporal(users: DataFrame, as_text: bool, padded_to: int | None = None) -> dict[str, Column]:
+    """The temporal sequences in the wanted form, made once per user."""
+    if padded_to is not None:
+        return {name: pad(flat_column(users, name), padded_to) for name in schemas.TEMPORAL}
     return {
         name: encode_flat(F.col(name))
         for name in schemas.TEMPORAL
@@ -263,6 +270,10 @@ def order_overlaps(baskets: str, first_orders: str) -> Column:
     )
 
 
+# Sequences of a product row that are the same for all pairs of a user.
+_OF_USER = ("history_order_size", "history_reorder_size")
+
+
 # --- the tables -------------------------------------------------------------
 
 
@@ -273,12 +284,15 @@ def product_history(
     as_text: bool = True,
     item_type: str = "int",
     large_user_items: int = LARGE_USER_ITEMS,
+    padded_to: int | None = None,
 ) -> DataFrame:
     """One row per user and product of the user's history.
 
     ``users`` holds typed or text sequences (ids in text are read as
     ``item_type``); ``tags`` is (user_id, target_eval_set). The label is 1/0
     for train users and -1 for all others. ``as_text`` gives the stored form.
+    ``padded_to`` (with arrays) brings the six sequences that all pairs of a user
+    share to a fixed length, once per user; the pair's own two stay as they are.
     """
     past = F.col("past")
     pairs = _pairs(
@@ -286,9 +300,11 @@ def product_history(
         PRODUCTS,
         ["user_id", "eval_set", "target_eval_set", *schemas.TEMPORAL],
         {
-            "history_order_size": _in_form(order_sizes(past), as_text),
-            "history_reorder_size": _in_form(order_overlaps("past", "first_orders"), as_text),
-            **_temporal(users, as_text),
+            "history_order_size": _in_form(order_sizes(past), as_text, padded_to),
+            "history_reorder_size": _in_form(
+                order_overlaps("past", "first_orders"), as_text, padded_to
+            ),
+            **_temporal(users, as_text, padded_to),
         },
         item_type,
         as_text,
@@ -302,7 +318,9 @@ def product_history(
     )
 
 
-def none_history(users: DataFrame, tags: DataFrame, as_text: bool = True) -> DataFrame:
+def none_history(
+    users: DataFrame, tags: DataFrame, as_text: bool = True, padded_to: int | None = None
+) -> DataFrame:
     """One "None" row per user: was nothing reordered?
 
     Product 0. Past orders are flagged 1 when they hold no reordered item, the
@@ -330,8 +348,11 @@ def none_history(users: DataFrame, tags: DataFrame, as_text: bool = True) -> Dat
                 "department_id": F.lit(0),
                 "product_name": F.lit(""),
                 "label": _train_label(reordered == 0),
-                **{name: _in_form(c, as_text) for name, c in sequences.items()},
-                **_temporal(users, as_text),
+                **{
+                    name: _in_form(c, as_text, padded_to if name in _OF_USER else None)
+                    for name, c in sequences.items()
+                },
+                **_temporal(users, as_text, padded_to),
             }
         )
         .select(schemas.PRODUCT_HISTORY)
@@ -344,11 +365,13 @@ def product_history_with_none(
     products: DataFrame,
     as_text: bool = True,
     item_type: str = "int",
+    padded_to: int | None = None,
 ) -> DataFrame:
     """The product_history table: product rows and "None" rows together."""
-    return product_history(users, tags, products, as_text, item_type).unionByName(
-        none_history(users, tags, as_text)
+    pairs = product_history(
+        users, tags, products, as_text, item_type, padded_to=padded_to
     )
+    return pairs.unionByName(none_history(users, tags, as_text, padded_to))
 
 
 def aisle_departments(products: DataFrame) -> DataFrame:

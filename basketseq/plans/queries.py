@@ -574,12 +574,9 @@ def v2_encode_names(spark, folder):
 @query
 def t1_product_training(spark, folder):
     model = Model(spark, folder)
-    pairs = history.product_history_with_none(
-        model.users, model.tags, model.products, as_text=False
-    )
     return arrays_as_text(
-        training.product_training(
-            pairs, model.products, MIN_WORD_FREQ, NAME_LENGTH, SEQUENCE_LENGTH
+        training.product_training_of_users(
+            model.users, model.tags, model.products, MIN_WORD_FREQ, NAME_LENGTH, SEQUENCE_LENGTH
         )
     )
 

@@ -101,6 +101,9 @@ def main() -> None:
         "t1_product_training_arrays": lambda: training.product_training(
             typed_pairs, tables.products, q.MIN_WORD_FREQ, q.NAME_LENGTH, q.SEQUENCE_LENGTH
         ),
+        "t1_product_training_of_users": lambda: training.product_training_of_users(
+            typed_users, tags, tables.products, q.MIN_WORD_FREQ, q.NAME_LENGTH, q.SEQUENCE_LENGTH
+        ),
         "t2b_reorder_size_training": lambda: training.reorder_size_training(
             users, q.SEQUENCE_LENGTH
         ),

@@ -127,6 +127,11 @@ def test_product_training(spark):
         (r["user_id"], r["product_id"]): r for r in brute.product_rows(source) + brute.none_rows(source)
     }
     rows = got.collect()
+    for some_users in (users, baskets.sequence_text(users)):
+        straight = training.product_training_of_users(
+            some_users, split_tags(tables.orders), known, 2, 3, 4
+        )
+        assert sorted(map(repr, straight.collect())) == sorted(map(repr, rows))
     assert len(rows) == len(source_rows)
     for row in rows:
         expected = source_rows[row["user_id"], row["product_id"]]
