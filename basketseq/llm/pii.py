@@ -38,6 +38,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 ROUNDS = 8
+#: Set around findings; two code points that are no characters.
+MARK = "\ufdd0\ufdd1"
 KEY = "basketseq"
 
 # The order counts: of two patterns at one place the earlier one wins.
@@ -381,28 +383,33 @@ def with_pseudonyms(docs: DataFrame, text_col: str = "text", key: str = KEY) ->
     """``docs`` with the text rewritten, and ``n_pseudonyms``, the replaced findings."""
     text = F.col(text_col)
 
-    def both(value: Column) -> Column:
-        return F.struct(value.alias("old"), pseudonym(value, key).alias("new"))
-
-    found = docs.select(
-        F.struct(*docs.columns).alias("row"),
-        F.regexp_extract_all(text, F.lit(ANY), F.lit(0)).alias("found"),
-        F.split(text, ANY, -1).alias("between"),
+    def both(piece: Column, place: Column) -> Column:
+        new = F.when(place % 2 == 1, pseudonym(piece, key)).otherwise(piece)
+        return F.struct(piece.alias("old"), new.alias("new"))
+
+    # Gap, finding, gap, ... in one pass over the text; in two where it holds the mark.
+    found = F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
+    in_two = F.flatten(
+        F.zip_with(
+            F.split(text, ANY, -1),
+            F.concat(found, F.array(F.lit(""))),
+            lambda gap, finding: F.array(gap, finding),
+        )
     )
-    fresh = found.select("row", "found", "between", F.transform("found", both).alias("fresh"))
-    joined = F.array_join(
-        F.zip_with("between", "fresh", lambda gap, v: F.concat(gap, F.coalesce(v["new"], F.lit("")))),
-        "",
+    in_one = F.split(F.regexp_replace(text, ANY, f"{MARK}$0{MARK}"), MARK, -1)
+    pieces = docs.select(
+        F.struct(*docs.columns).alias("row"),
+        F.when(F.contains(text, F.lit(MARK)), in_two).otherwise(in_one).alias("pieces"),
     )
-    count = F.size(F.filter("fresh", lambda v: v["new"] != v["old"])).cast("long")
-    untouched = F.coalesce(F.size("found"), F.lit(0)) <= 0
+    fresh = pieces.select("row", F.transform("pieces", both).alias("fresh"))
+    joined = F.array_join(F.col("fresh.new"), "")
+    changed = F.size(F.filter("fresh", lambda v: v["new"] != v["old"]))
+    count = F.greatest(F.coalesce(changed, F.lit(0)), F.lit(0)).cast("long")
     return fresh.select(
         *(
-            F.when(untouched, F.col("row").getField(c)).otherwise(joined).alias(c)
-            if c == text_col
-            else F.col("row").getField(c).alias(c)
+            joined.alias(c) if c == text_col else F.col("row").getField(c).alias(c)
             for c in docs.columns
             if c != "n_pseudonyms"
         ),
-        F.when(untouched, F.lit(0).cast("long")).otherwise(count).alias("n_pseudonyms"),
+        count.alias("n_pseudonyms"),
     )

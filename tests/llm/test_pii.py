@@ -217,13 +217,17 @@ def test_context_and_neighbours(spark):
         "7536784127813050 4845168114407329 x",
         "pi 3.1415926535897932 v1.2.3 12345678901234567890123 2020-01-02-03",
         "no findings at all",
+        f"{pii.MARK} 4111111111111111 {pii.MARK}",
+        "4111111111111111",
     ]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
     got = {r.doc_id: r for r in pii.with_pseudonyms(df).collect()}
     assert got[0].text == f'token = "{characters_moved("credential", secret)}" x'
     assert got[2].text == f"7536784127813050 {card('4845168114407329')} x"
     assert [got[i].text for i in (1, 3, 4)] == [texts[i] for i in (1, 3, 4)]
-    assert [got[i].n_pseudonyms for i in range(5)] == [1, 0, 1, 0, 0]
+    assert got[5].text == f"{pii.MARK} {card('4111111111111111')} {pii.MARK}"
+    assert got[6].text == card("4111111111111111")
+    assert [got[i].n_pseudonyms for i in range(7)] == [1, 0, 1, 0, 0, 1, 1]
 
 
 def test_edge_rows(spark):
