@@ -326,7 +326,9 @@ def near_duplicates(
     scratch.drop(nodes_path)
     texts, texts_path = scratch.write(
         base.select(F.col("row").alias("cls"), F.col("doc").getField(text_col).alias("text")).join(
-            shared.select("cls").distinct(), "cls"
+            # One plan at every size; on large tables Spark adds a Bloom filter of its own.
+            shared.select("cls").distinct().hint("merge"),
+            "cls",
         ),
         "candidates",
     )
