@@ -35,6 +35,7 @@ from tokenizers import Tokenizer
 
 TURN, END = "<|turn|>", "<|end|>"
 LOSS_ROLE = "assistant"
+ENCODED_AT_ONCE = 64
 SCHEMA = (
     "id string, formatted string, ids array<int>, loss_mask array<boolean>, "
     "loss_spans array<struct<begin: int, end: int>>"
@@ -112,31 +113,28 @@ def formatted_conversations(
     """A row per conversation: rendered text, token ids, token mask, loss spans."""
     names = ["id", "formatted", "ids", "loss_mask", "loss_spans"]
 
+    def formatted(part: pd.DataFrame, tool: Tokenizer) -> list[tuple]:
+        rendered = [[(t["role"], t["text"]) for t in turns] for turns in part["turns"]]
+        texts = [render(turns) for turns in rendered]
+        codes = tool.encode_batch([text for text, _ in texts], add_special_tokens=False)
+        rows = []
+        for key, turns, (text, spans), code in zip(
+            part["id"], rendered, texts, codes, strict=True
+        ):
+            wanted = [s for s, (role, _) in zip(spans, turns, strict=True) if role == loss_role]
+            offsets = np.asarray(code.offsets, dtype=np.int64).reshape(-1, 2)
+            mask, shared = token_mask(offsets, wanted)
+            marks = [{"begin": b, "end": e} for b, e in shared]
+            rows.append((key, text, code.ids, mask.tolist(), marks))
+        return rows
+
     def encoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tool = encoder(tokenizer)
         for batch in batches:
-            rows = []
-            rendered = [
-                [(t["role"], t["text"]) for t in turns] for turns in batch["turns"]
-            ]
-            texts = [render(turns) for turns in rendered]
-            codes = tool.encode_batch([text for text, _ in texts], add_special_tokens=False)
-            for key, turns, (text, spans), code in zip(
-                batch["id"], rendered, texts, codes, strict=True
-            ):
-                wanted = [s for s, (role, _) in zip(spans, turns, strict=True) if role == loss_role]
-                offsets = np.asarray(code.offsets, dtype=np.int64).reshape(-1, 2)
-                mask, shared = token_mask(offsets, wanted)
-                rows.append(
-                    (
-                        key,
-                        text,
-                        code.ids,
-                        mask.tolist(),
-                        [{"begin": b, "end": e} for b, e in shared],
-                    )
-                )
-            yield pd.DataFrame(rows, columns=names)
+            # Encodings with offsets are many times their text: some at a time.
+            for start in range(0, len(batch), ENCODED_AT_ONCE):
+                part = batch.iloc[start : start + ENCODED_AT_ONCE]
+                yield pd.DataFrame(formatted(part, tool), columns=names)
 
     turn = F.struct(
         F.col(turn_col).alias("turn"),
