@@ -13,15 +13,15 @@
    sets, within one task; only the links that hold its parts together leave the task.
    Of larger nodes each member is compared with the smallest one at first. What
    all this links is contracted to components.
-5. Large nodes that still hold two components or more branch on: by one token, or
-   by two for half the nodes, so that a pair at the threshold survives each level
-   more than once on average (1.5 * 0.8 > 1) and the recall of a tree does not fade
-   with depth. What is large at ``MAX_DEPTH`` is compared exhaustively, too, in
-   pairs of blocks.
+5. Large nodes that still hold two components or more branch on, by two tokens
+   (the second one with a chance of ``SECOND``), so that a pair at the threshold
+   survives each level more than once on average (2 * 0.8 > 1). What is large at
+   ``MAX_DEPTH`` is compared exhaustively, too, in pairs of blocks.
 
 Trees are repeated until a pair exactly at the threshold is missed with a
-probability below 1 - ``RECALL`` (see ``trees_needed``); pairs above it are
-missed less often. Every link is confirmed on full sets (64-bit shingle hashes).
+probability below 1 - ``RECALL``, also where all its nodes stay large down to
+``MAX_DEPTH`` (see ``trees_needed``); pairs above it are missed less often. Every
+link is confirmed on full sets (64-bit shingle hashes).
 
 Defined results: a null text, an empty text and one without words have an empty
 set and link with nothing. A text of fewer words than a shingle is one shingle.
@@ -53,7 +53,7 @@ LEAF = 1_024
 LEAF_SHINGLES = 1 << 20
 RECALL = 0.999999
 #: Chance that a node branches by a second token.
-SECOND = 0.25
+SECOND = 1.0
 
 _RANDOM = np.random.default_rng(977)
 _MULTIPLY = _RANDOM.integers(1, 2**63, TOKENS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -61,9 +61,33 @@ _ADD = _RANDOM.integers(0, 2**63, TOKENS, dtype=np.uint64)
 RESULT_COLUMNS = ("n_shingles", "component_id", "kept", "first_row")
 
 
+def missed(similarity: float, trees: int) -> float:
+    """Chance that no tree brings a pair of that similarity together at ``MAX_DEPTH``.
+
+    That is the worst case, of nodes that are large at every level. All trees draw
+    from the same tokens, so the sum goes over how many of them the pair shares.
+    Given that number, trees of different starting tokens meet no less often than
+    independent ones do.
+    """
+    total = 0.0
+    for shared in range(TOKENS + 1):
+        weight = math.comb(TOKENS, shared)
+        weight *= similarity**shared * (1 - similarity) ** (TOKENS - shared)
+        start = math.comb(shared, START_DEPTH) / math.comb(TOKENS, START_DEPTH)
+        lost = 0.0
+        for _ in range(START_DEPTH, MAX_DEPTH):
+            apart = 1 - shared / TOKENS * (1 - lost)
+            lost = apart * (1 - SECOND + SECOND * apart)
+        total += weight * (1 - start * (1 - lost)) ** trees
+    return total
+
+
 def trees_needed(similarity: float, recall: float = RECALL) -> int:
-    """Trees until a pair of that similarity shares a starting node in one of them."""
-    return math.ceil(math.log(1 - recall) / math.log(1 - similarity**START_DEPTH))
+    """Trees until a pair of that similarity is missed with a chance of 1 - recall at most."""
+    trees = math.ceil(math.log(1 - recall) / math.log(1 - similarity**START_DEPTH))
+    while missed(similarity, trees) > 1 - recall:
+        trees += 1
+    return trees
 
 
 def minwise_tokens(shingles: np.ndarray) -> bytes:
