@@ -7,16 +7,17 @@
    to their similarity.
 3. Independent trees branch the classes by chosen tokens. The choice depends on
    the node alone, so each class finds its own way down without a look at the
-   others. The first ``START_DEPTH`` levels are taken at once. Nodes with the
-   same members in several trees are looked at once.
-4. A small node (``LEAF``, ``LEAF_SHINGLES``) is compared exhaustively, on the full
-   sets, within one task; only the links that hold its parts together leave the task.
+   others. The first ``START_DEPTH`` levels are taken at once. Small nodes with the
+   same members in several trees are looked at once; large ones stay apart, since
+   their repeats are the independent trials that recall rests on.
+4. A small node (``LEAF`` members, ``LEAF_LOAD`` of text) is compared exhaustively,
+   on the full sets, within one task; only the links that hold its parts together leave the task.
    Of larger nodes each member is compared with the smallest one at first. What
    all this links is contracted to components.
-5. Large nodes that still hold two components or more branch on, by two tokens
-   (the second one with a chance of ``SECOND``), so that a pair at the threshold
-   survives each level more than once on average (2 * 0.8 > 1). What is large at
-   ``MAX_DEPTH`` is compared exhaustively, too, in pairs of blocks.
+5. Large nodes that still hold two components or more branch on, each by two
+   tokens of its own, so that a pair at the threshold survives each level more than
+   once on average (2 * 0.8 > 1). What is large at ``MAX_DEPTH`` is compared
+   exhaustively, too, in pairs of blocks.
 
 Trees are repeated until a pair exactly at the threshold is missed with a
 probability below 1 - ``RECALL``, also where all its nodes stay large down to
@@ -48,12 +49,11 @@ TOKENS = 96
 START_DEPTH = 3
 MAX_DEPTH = 8
 #: A node is small, and compared within one task, up to this many members and
-#: this many shingles in all (8 bytes each).
+#: this much load: shingles of its members (8 bytes each), or eighths of their
+#: texts' bytes where that is more (few long words, the same words over and over).
 LEAF = 1_024
-LEAF_SHINGLES = 1 << 20
+LEAF_LOAD = 1 << 20
 RECALL = 0.999999
-#: Chance that a node branches by a second token.
-SECOND = 1.0
 
 _RANDOM = np.random.default_rng(977)
 _MULTIPLY = _RANDOM.integers(1, 2**63, TOKENS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -76,8 +76,7 @@ def missed(similarity: float, trees: int) -> float:
         start = math.comb(shared, START_DEPTH) / math.comb(TOKENS, START_DEPTH)
         lost = 0.0
         for _ in range(START_DEPTH, MAX_DEPTH):
-            apart = 1 - shared / TOKENS * (1 - lost)
-            lost = apart * (1 - SECOND + SECOND * apart)
+            lost = (1 - shared / TOKENS * (1 - lost)) ** 2
         total += weight * (1 - start * (1 - lost)) ** trees
     return total
 
@@ -128,7 +127,7 @@ def _child(node: np.ndarray, coordinate, token: np.ndarray) -> np.ndarray:
 
 
 def starting_nodes(classes: DataFrame, trees: int) -> DataFrame:
-    """(node, cls, n): the node of each class at the starting depth, per tree."""
+    """(node, cls, n, load): the node of each class at the starting depth, per tree."""
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         choice = np.random.default_rng(31)
@@ -142,10 +141,15 @@ def starting_nodes(classes: DataFrame, trees: int) -> DataFrame:
                 for coordinate in chosen[tree]:
                     node = _child(node, coordinate, tokens[:, coordinate])
                 yield pd.DataFrame(
-                    {"node": node.view(np.int64), "cls": batch["cls"], "n": batch["n"]}
+                    {
+                        "node": node.view(np.int64),
+                        **{name: batch[name] for name in ("cls", "n", "load")},
+                    }
                 )
 
-    return classes.select("cls", "n", "tokens").mapInPandas(walk, "node long, cls long, n long")
+    return classes.select("cls", "n", "load", "tokens").mapInPandas(
+        walk, "node long, cls long, n long, load long"
+    )
 
 
 def child_nodes(members: DataFrame) -> DataFrame:
@@ -157,23 +161,20 @@ def child_nodes(members: DataFrame) -> DataFrame:
                 continue
             tokens = _token_matrix(batch["tokens"])
             node = batch["node"].to_numpy().view(np.uint64)
-            at = np.arange(len(batch))
-            second = mixed(node + np.uint64(2)) < np.uint64(int(SECOND * 2**64))
-            for chooser, rows in ((1, at), (3, at[second])):
-                pick = mixed(node[rows] + np.uint64(chooser)) % np.uint64(TOKENS)
+            for chooser in (1, 3):
+                pick = mixed(node + np.uint64(chooser)) % np.uint64(TOKENS)
                 # Parents apart: one class may come to a node on two ways.
-                child = _child(node[rows] + np.uint64(chooser), pick, tokens[rows, pick])
+                token = tokens[np.arange(len(batch)), pick]
+                child = _child(node + np.uint64(chooser), pick, token)
                 yield pd.DataFrame(
                     {
                         "node": child.view(np.int64),
-                        "cls": batch["cls"].to_numpy()[rows],
-                        "n": batch["n"].to_numpy()[rows],
-                        "comp": batch["comp"].to_numpy()[rows],
+                        **{name: batch[name] for name in ("cls", "load", "comp")},
                     }
                 )
 
-    return members.select("node", "cls", "n", "comp", "tokens").mapInPandas(
-        walk, "node long, cls long, n long, comp long"
+    return members.select("node", "cls", "load", "comp", "tokens").mapInPandas(
+        walk, "node long, cls long, load long, comp long"
     )
 
 
@@ -258,29 +259,41 @@ def links_within(
 
 
 def _small() -> str:
-    """Condition on a node's ``size`` and ``mass`` (its members' shingles)."""
-    return f"(size <= {LEAF} and mass <= {LEAF_SHINGLES})"
-
-
-def _large_open_nodes(members: DataFrame) -> DataFrame:
-    """Members, with the size, of the nodes that hold two components or more."""
-    nodes = (
-        members.groupBy("node")
-        .agg(
-            F.count("*").alias("size"),
-            F.sum("n").alias("mass"),
-            F.min("comp").alias("lo"),
-            F.max("comp").alias("hi"),
-        )
-        .where("lo <> hi")
+    """Condition on a node's ``size`` and ``mass`` (the load of its members)."""
+    return f"(size <= {LEAF} and mass <= {LEAF_LOAD})"
+
+
+def _nodes(members: DataFrame, **more: Column) -> DataFrame:
+    """Size and mass of each node of two members or more, with ``more`` aggregates.
+
+    Of small nodes with the same members one is left: comparing it finds all that
+    the others would.
+    """
+    nodes = members.groupBy("node").agg(
+        F.count("*").alias("size"),
+        F.sum("load").alias("mass"),
+        F.expr("bit_xor(xxhash64(cls))").alias("x"),
+        F.expr("bit_xor(xxhash64(cls, 1L))").alias("y"),
+        *(column.alias(name) for name, column in more.items()),
+    )
+    return (
+        nodes.where("size > 1")
+        .groupBy("size", "x", "y", F.expr(f"if({_small()}, null, node)").alias("large"))
+        .agg(*(F.min(name).alias(name) for name in ("node", "mass", *more)))
+        .drop("x", "y", "large")
     )
+
+
+def _open_nodes(members: DataFrame) -> DataFrame:
+    """Members, with size and mass, of the nodes that hold two components or more."""
+    nodes = _nodes(members, lo=F.min("comp"), hi=F.max("comp")).where("lo <> hi")
     return members.join(nodes.select("node", "size", "mass"), "node")
 
 
 def _in_blocks(members: DataFrame) -> DataFrame:
     """Members of large nodes, once for each pair of blocks that their own is in."""
     blocks = F.expr(
-        f"cast(ceil(2 * greatest(size / {LEAF}, mass / {LEAF_SHINGLES})) as int)"
+        f"cast(ceil(2 * greatest(size / {LEAF}, mass / {LEAF_LOAD})) as int)"
     )
     placed = members.withColumn("blocks", blocks).withColumn(
         "own", F.expr("cast(pmod(xxhash64(cls), blocks) as int)")
@@ -318,6 +331,9 @@ def near_duplicates(
         own_id.alias("id"),
         "row",
         F.col("s.n").alias("n"),
+        F.greatest("s.n", F.octet_length(F.col("doc").getField(text_col)) / 8)
+        .cast("long")
+        .alias("load"),
         F.col("s.tokens").alias("tokens"),
     )
     classes, _ = scratch.write(
@@ -331,21 +347,7 @@ def near_duplicates(
     nodes, nodes_path = scratch.write(
         starting_nodes(classes, trees_needed(percent / 100)), "nodes"
     )
-    groups = (
-        nodes.groupBy("node")
-        .agg(
-            F.count("*").alias("size"),
-            F.sum("n").alias("mass"),
-            F.min(F.struct("cls", "n")).alias("lead"),
-            F.expr("bit_xor(xxhash64(cls))").alias("x"),
-            F.expr("bit_xor(xxhash64(cls, 1L))").alias("y"),
-        )
-        .where("size > 1")
-        # Nodes of the same members: one of them will do.
-        .groupBy("size", "x", "y")
-        .agg(F.min("node").alias("node"), F.min("mass").alias("mass"), F.min("lead").alias("lead"))
-        .select("node", "size", "mass", "lead")
-    )
+    groups = _nodes(nodes, lead=F.min(F.struct("cls", "n")))
     shared, shared_path = scratch.write(nodes.join(groups, "node"), "shared-nodes")
     scratch.drop(nodes_path)
     texts, texts_path = scratch.write(
@@ -371,14 +373,14 @@ def near_duplicates(
     links, _ = scratch.write(found, "links")
     labels = components(links, scratch)
 
-    members = shared.where(f"size > 2 and not {_small()}").select("node", "cls", "n")
+    members = shared.where(f"size > 2 and not {_small()}").select("node", "cls", "load")
     known = labels.select(F.col("u").alias("cls"), F.col("v").alias("comp"))
     members = members.join(known, "cls", "left").select(
-        "node", "cls", "n", F.coalesce("comp", "cls").alias("comp")
+        "node", "cls", "load", F.coalesce("comp", "cls").alias("comp")
     )
     more = []
     for depth in range(START_DEPTH, MAX_DEPTH + 1):
-        live, _ = scratch.write(_large_open_nodes(members), "open-nodes")
+        live, _ = scratch.write(_open_nodes(members), "open-nodes")
         if live.isEmpty():
             break
         if depth > START_DEPTH:

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 RULES = (
     ("allow", "org", "/"),
     ("block", "example.org", "/es/"),
-    ("allow", "example.org", "/en/1"),
+    ("block", "example.org", "/en/1"),
     ("allow", "com", "/fr/"),
     ("block", "com", "/de/"),
 )

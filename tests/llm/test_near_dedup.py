@@ -104,9 +104,41 @@ def test_edge_rows(spark):
 
 
 def test_trees_reach_the_recall():
+    """By the formula, and by walking pairs at the threshold down to the last level."""
     for similarity in (0.8, 0.85, 0.95):
-        missed = (1 - similarity**near_dedup.START_DEPTH) ** near_dedup.trees_needed(similarity)
-        assert missed <= 1 - near_dedup.RECALL
+        trees = near_dedup.trees_needed(similarity)
+        assert near_dedup.missed(similarity, trees) <= 1 - near_dedup.RECALL
+        assert near_dedup.missed(similarity, 1) > 1 - similarity**near_dedup.START_DEPTH
+    rng, meetings, trials = random.Random(4), 0, 4000
+    for _ in range(trials):
+        shared = [rng.random() < 0.8 for _ in range(near_dedup.TOKENS)]
+        alive = all(rng.sample(shared, near_dedup.START_DEPTH))
+        for _ in range(near_dedup.START_DEPTH, near_dedup.MAX_DEPTH):
+            alive = sum(rng.choice(shared) for _ in range(2 * int(alive)))
+        meetings += alive > 0
+    assert meetings / trials == pytest.approx(1 - near_dedup.missed(0.8, 1), abs=0.03)
+
+
+def test_large_node_with_the_production_constants(spark):
+    """More members than a small node holds, all in one family of near copies: each
+    change is found by its own links, and far members by the tree's lower levels."""
+    rng = random.Random(12)
+    base, texts = edge.words(40, 1).split(), []
+    for i in range(1_600):
+        copy = list(base)
+        for _ in range(rng.choice((0, 1, 1, 2))):
+            copy[rng.randrange(len(copy))] = f"new{rng.randrange(10**9)}"
+        texts.append(" ".join(copy))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    check(near_dedup.near_duplicates(docs, shingle=3, percent=85).collect(), 3, 85)
+
+
+def test_long_texts_of_few_shingles_are_large(spark, monkeypatch):
+    """A node is bounded by bytes too: here 40 texts of some 30 shingles each."""
+    monkeypatch.setattr(near_dedup, "LEAF_LOAD", 1 << 9)
+    texts = [f"{(edge.words(30, 3) + ' ') * 10} end{i % 20}" for i in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    check(near_dedup.near_duplicates(docs).collect(), 5, 80)
 
 
 @pytest.mark.parametrize("seed", range(3))
