@@ -18,14 +18,17 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from basketseq.llm import (
+    alignment,
     chat,
     co_training,
+    collocations,
     mixing,
     near_dedup,
     neighbours,
     packing,
     pii,
     quality,
+    secret_scan,
     sharding,
     urls,
 )
@@ -33,6 +36,7 @@ from basketseq.llm import (
 Query = Callable[[SparkSession, str], DataFrame]
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 #: Rows that a Python worker gets at once: whole texts can be long.
 BATCH_ROWS = 1_000
 
@@ -150,6 +154,20 @@ def op10_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.with_quality(docs).drop("text")
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secret_scan.span_digests(secret_scan.with_secrets(docs))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return alignment.link_scores(docs, TOKENIZER, PIECES)
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
 OP3_SQL = r"""
 WITH docs AS (
     SELECT doc_id, source,
@@ -207,10 +225,11 @@ WITH turns AS (
     UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
 ),
 sized AS (
-    SELECT *, length('<|turn|>') + length(replace(replace(replace(role, '', '\'), '<|', '<\|'),
-                                                  chr(10), '
-')) + 1
-              + length(replace(replace(text, '', '\'), '<|', '<\|')) + length('<|end|>') + 1
+    SELECT *, length('<|turn|>')
+              + length(replace(replace(replace(role, chr(92), chr(92) || chr(92)), '<|', '<' || chr(92) || '|'),
+                               chr(10), chr(92) || 'n')) + 1
+              + length(replace(replace(text, chr(92), chr(92) || chr(92)), '<|', '<' || chr(92) || '|'))
+              + length('<|end|>') + 1
               AS chars
     FROM turns
 )
@@ -228,7 +247,7 @@ OP9_SQL = r"""
 WITH RECURSIVE words AS (
     SELECT doc_id, regexp_extract_all(
         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-        '[^ 	-]+') AS w
+        '[^\x20\x09-\x0D]+') AS w
     FROM documents
 ),
 sets AS (
@@ -256,6 +275,118 @@ FROM sets s JOIN (SELECT u, min(v) AS component_id FROM reached GROUP BY u) c ON
 """
 
 
+# The rules again, as regular expressions of their own: kind, pattern, group that the
+# least length is for, that length.
+_SECRETS_IN_SQL = (
+    (
+        "assign",
+        r"([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]"
+        r"|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])"
+        r"""["\x27]?\x20*[:=]\x20*["\x27]?([A-Za-z0-9+/_.=-]+)""",
+        2,
+        12,
+    ),
+    ("access", "AKIA[A-Z0-9]+", 0, 18),
+    ("hex", "[0-9a-f]+", 0, 16),
+    ("github", "gh[oprsu]_[A-Za-z0-9]+", 0, 40),
+    ("slack", "xox[abeoprs]-[A-Za-z0-9-]+", 0, 24),
+    ("jwt", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0, 40),
+    ("private", r"-----BEGIN\x20([A-Z0-9]+\x20)*PRIVATE\x20KEY-----", 0, 27),
+)
+
+
+def _op11_sql() -> str:
+    kinds = " UNION ALL ".join(
+        f"""SELECT doc_id, '{kind}' AS kind, {number} AS kind_at,
+                   regexp_extract_all(text, '{pattern}') AS found,
+                   regexp_extract_all(text, '{pattern}', {group}) AS value,
+                   string_split_regex(text, '{pattern}') AS gaps, {least} AS least
+            FROM docs"""
+        for number, (kind, pattern, group, least) in enumerate(_SECRETS_IN_SQL)
+    )
+    return f"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+matches AS ({kinds}),
+numbered AS (SELECT *, unnest(range(1, len(found) + 1)) AS i FROM matches),
+placed AS (
+    SELECT doc_id, kind, kind_at, length(found[i]) AS size, least, length(value[i]) AS value_size,
+           list_sum(list_transform(gaps[1:i], lambda x: length(x)))
+           + coalesce(list_sum(list_transform(found[1:i - 1], lambda x: length(x))), 0) AS start
+    FROM numbered
+),
+spans AS (
+    SELECT doc_id, kind, kind_at, CAST(start AS BIGINT) AS start,
+           kind || ':' || CAST(CAST(start AS BIGINT) AS VARCHAR) || ':'
+           || CAST(CAST(start + size AS BIGINT) AS VARCHAR) AS span
+    FROM placed WHERE value_size >= least
+)
+SELECT d.doc_id,
+       count(*) FILTER (kind = 'assign') AS n_assign,
+       count(*) FILTER (kind = 'access') AS n_access,
+       count(*) FILTER (kind = 'hex') AS n_hex,
+       sha256(coalesce(string_agg(span, ',' ORDER BY start, kind_at)
+                       FILTER (kind_at < 3), '')) AS base_sha256,
+       coalesce(string_agg(span, ',' ORDER BY start, kind_at), '') AS spans
+FROM docs d LEFT JOIN spans s ON d.doc_id = s.doc_id
+GROUP BY d.doc_id
+"""
+
+
+OP11_SQL = _op11_sql()
+
+OP13_SQL = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS doc,
+           unnest(regexp_split_to_array(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+),
+words AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+),
+grams AS (
+    SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase
+    FROM (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words)
+    CROSS JOIN (SELECT unnest([1, 2, 3]) AS size)
+    WHERE i + size - 1 <= len(w)
+),
+counts AS (SELECT lang, size, phrase, count(*) AS f FROM grams GROUP BY ALL),
+sizes AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE size = 1 GROUP BY lang),
+candidates AS (
+    SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w
+    FROM counts WHERE size > 1 AND f >= 10
+),
+cuts AS (
+    SELECT c.lang, c.phrase, c.a, k, l.f AS l, r.f AS r,
+           CAST(1000000::HUGEINT * c.a * c.a // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+    FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates) c
+    JOIN counts l ON l.lang = c.lang AND l.size = k AND l.phrase = array_to_string(w[1:k], ' ')
+    JOIN counts r ON r.lang = c.lang AND r.size = c.size - k
+                     AND r.phrase = array_to_string(w[k + 1:], ' ')
+),
+lowest AS (
+    SELECT * FROM cuts
+    QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+),
+longer AS (
+    SELECT lang, part, max(a) AS a
+    FROM (SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS part
+          FROM candidates WHERE size = 3)
+    GROUP BY lang, part
+),
+kept AS (
+    SELECT lowest.* FROM lowest
+    LEFT JOIN longer ON longer.lang = lowest.lang AND longer.part = lowest.phrase
+    WHERE longer.a IS NULL OR 100 * longer.a < 50 * lowest.a
+)
+SELECT kept.lang, row_number() OVER (PARTITION BY kept.lang ORDER BY score DESC, a DESC, phrase) AS rank,
+       phrase, a, l, r, n, score
+FROM kept JOIN sizes ON sizes.lang = kept.lang
+QUALIFY rank <= 2000
+"""
+
+
 def queries() -> dict[str, Query]:
     ship_package()
     return {
@@ -271,6 +402,9 @@ def queries() -> dict[str, Query]:
             op8_url_filter,
             op9_chosen_path_dedup,
             op10_compression_bands,
+            op11_secret_scan,
+            op12_token_alignment,
+            op13_collocations,
         )
     }
 
@@ -280,4 +414,6 @@ def oracle_sql() -> dict[str, str]:
         "op3_source_mixing": OP3_SQL,
         "op6_chat_masks": OP6_SQL,
         "op9_chosen_path_dedup": OP9_SQL,
+        "op11_secret_scan": OP11_SQL,
+        "op13_collocations": OP13_SQL,
     }
