@@ -1,9 +1,9 @@
 """Weighted acyclic automata that map short word sequences to counts.
 
 States are shared: two states with the same weight and the same transitions are one.
-They are built from n-grams sorted by their words, deepest states first, so that a
-state's transitions are complete and final when it is looked up in the register of
-states built before. The weight of a state is the count of the sequence that leads
+They are built from n-grams sorted by their words, level by level from the deepest,
+so that a state's transitions are complete and final when it is looked up in the
+register of states built before. The weight of a state is the count of the sequence that leads
 to it; 0 means that only longer sequences are counted here.
 
 Words are numbered in the order of their bytes, so sorted numbers are sorted
@@ -41,6 +41,67 @@ def words_of(codes: np.ndarray) -> np.ndarray:
     return (codes[:, None] >> shifts) & _MASK
 
 
+def _nodes(codes: np.ndarray, counts: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct prefixes of ``depth`` words, sorted, and their counts (0: none of its own)."""
+    shift = BITS * (DEPTH - depth)
+    if depth == 0:
+        return np.zeros(1, dtype=np.int64), np.zeros(1, dtype=np.int64)
+    reaching = (codes >> shift) & _MASK > 0
+    prefixes = codes[reaching] >> shift << shift
+    fresh = np.ones(len(prefixes), dtype=bool)
+    fresh[1:] = prefixes[1:] != prefixes[:-1]
+    paths = prefixes[fresh]
+    # A prefix that is counted itself stands before its continuations.
+    own = codes[reaching][fresh] == paths
+    return paths, np.where(own, counts[reaching][fresh], 0)
+
+
+class _Register:
+    """States built so far, equal ones once; transitions are complete when a state is
+    looked up. States without transitions come first, one per weight."""
+
+    def __init__(self, counts: np.ndarray):
+        self.weights = np.unique(np.append(counts, 0))
+        self.known: dict[tuple[int, bytes], int] = {}
+        self.added: list[tuple[int, np.ndarray]] = []
+
+    def terminals(self, weights: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.weights, weights)
+
+    def states(self, weights, first, last, labels, targets) -> np.ndarray:
+        """The state of each node: its weight, and its slice of (labels, targets)."""
+        found = self.terminals(weights)
+        fan = last - first
+        pairs = labels << 32 | targets
+        # Nodes of one transition are told apart all at once, the others one by one.
+        single = np.flatnonzero(fan == 1)
+        _, place = np.unique(pairs[first[single]], return_inverse=True)
+        keys = place * len(self.weights) + found[single]
+        _, lead, member = np.unique(keys, return_index=True, return_inverse=True)
+        known = [
+            self._state(int(weights[i]), pairs[first[i] : last[i]]) for i in single[lead].tolist()
+        ]
+        found[single] = np.array(known, dtype=np.int64)[member]
+        for i in np.flatnonzero(fan > 1).tolist():
+            found[i] = self._state(int(weights[i]), pairs[first[i] : last[i]])
+        return found
+
+    def _state(self, weight: int, pairs: np.ndarray) -> int:
+        key = (weight, pairs.tobytes())
+        if key not in self.known:
+            self.known[key] = len(self.weights) + len(self.added)
+            self.added.append((weight, pairs))
+        return self.known[key]
+
+    def arrays(self) -> tuple[np.ndarray, ...]:
+        """Weights, first transition of each state (and the end), labels, targets."""
+        weight = np.concatenate([self.weights, np.array([w for w, _ in self.added], dtype=np.int64)])
+        fan = np.array([len(p) for _, p in self.added], dtype=np.int64)
+        first = np.concatenate([np.zeros(len(self.weights) + 1, dtype=np.int64), np.cumsum(fan)])
+        pairs = np.concatenate([np.zeros(0, dtype=np.int64), *(p for _, p in self.added)])
+        return weight, first, pairs >> 32, pairs & 0xFFFFFFFF
+
+
 class Transducer:
     """``words`` sorted; per state its weight and its slice of the transitions
     (word number, target). The start is the last state."""
@@ -48,51 +109,24 @@ class Transducer:
     def __init__(self, words: list[bytes], codes: np.ndarray, counts: np.ndarray):
         """``codes`` sorted and distinct, over numbers from 1 into ``words``."""
         self.words = words
-        self.weight: list[int] = []
-        self.first: list[int] = [0]
-        self.label: list[int] = []
-        self.target: list[int] = []
-        register: dict[tuple, int] = {}
-        # Open states on the way to the last sequence: weight, transitions.
-        path: list[tuple[int, list]] = [(0, [])]
-        labels: list[int] = []
-
-        def close(depth: int) -> None:
-            while len(labels) > depth:
-                weight, transitions = path.pop()
-                key = (weight, *transitions)
-                if key not in register:
-                    register[key] = self._add(weight, transitions)
-                path[-1][1].append((labels.pop(), register[key]))
-
-        for row, count in zip(words_of(codes).tolist(), counts.tolist(), strict=True):
-            sequence = [word for word in row if word]
-            shared = 0
-            for old, new in zip(labels, sequence, strict=False):
-                if old != new:
-                    break
-                shared += 1
-            close(shared)
-            for word in sequence[shared:]:
-                labels.append(word)
-                path.append((0, []))
-            path[-1] = (count, path[-1][1])
-        close(0)
-        self._add(*path[0])
-
-    def _add(self, weight: int, transitions: list) -> int:
-        self.weight.append(weight)
-        for label, target in transitions:
-            self.label.append(label)
-            self.target.append(target)
-        self.first.append(len(self.label))
-        return len(self.weight) - 1
+        register = _Register(counts)
+        # Nodes of the tree of sequences, per depth: code of the path, weight.
+        levels = [_nodes(codes, counts, depth) for depth in range(DEPTH + 1)]
+        states = register.terminals(levels[DEPTH][1])
+        for depth in range(DEPTH - 1, -1, -1):
+            paths, weights = levels[depth]
+            deeper = levels[depth + 1][0]
+            shift = BITS * (DEPTH - depth)
+            first = np.searchsorted(deeper >> shift, paths >> shift)
+            last = np.searchsorted(deeper >> shift, paths >> shift, side="right")
+            labels = (deeper >> (shift - BITS)) & _MASK
+            states = register.states(weights, first, last, labels, states)
+        # The start equals no state below it, so it is the last one added.
+        self.weight, self.first, self.label, self.target = register.arrays()
 
     def entries(self) -> tuple[np.ndarray, np.ndarray]:
         """All counted sequences: codes, sorted, and counts."""
-        weight, first = np.array(self.weight), np.array(self.first)
-        label = np.array(self.label, dtype=np.int64)
-        target = np.array(self.target, dtype=np.int64)
+        weight, first, label, target = self.weight, self.first, self.label, self.target
         states = np.array([len(weight) - 1])
         prefix = np.zeros(1, dtype=np.int64)
         codes, counts = [], []
@@ -112,9 +146,8 @@ class Transducer:
 
     def packed(self) -> bytes:
         vocabulary = b"\n".join(self.words)
-        numbers = np.concatenate(
-            [np.array(part, dtype="<i8") for part in (self.weight, self.first, self.label, self.target)]
-        )
+        parts = (self.weight, self.first, self.label, self.target)
+        numbers = np.concatenate(parts).astype("<i8")
         head = struct.pack("<4q", len(self.words), len(vocabulary), len(self.weight), len(self.label))
         # Numbers byte by byte of the same weight: small ones leave runs of zeros.
         planes = numbers.view(np.uint8).reshape(-1, 8).T.tobytes()
