@@ -7,10 +7,11 @@ AQE splits a hot order or product.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from basketseq.functions.cleaning import fill_gaps
 from basketseq.sources.files import SourceTables
+from basketseq.sources.staged import write_checked
 
 NULLABLE = ["days_since_prior_order"]
 
@@ -53,13 +54,41 @@ def join_counts(joined: DataFrame, items: DataFrame) -> DataFrame:
 def check_join_counts(joined: DataFrame, items: DataFrame) -> None:
     """Raise when the joins dropped or multiplied item rows."""
     counts = join_counts(joined, items).first()
-    if counts["joined_count"] != counts["raw_count"]:
+    _compare(counts["joined_count"], counts["raw_count"])
+
+
+def _compare(joined_count: int, raw_count: int) -> None:
+    if joined_count != raw_count:
         raise ValueError(
-            f"Joined row count mismatch: {counts['raw_count']} items went into the joins, "
-            f"{counts['joined_count']} rows came out"
+            f"Joined row count mismatch: {raw_count} items went into the joins, "
+            f"{joined_count} rows came out"
         )
 
 
+def write_enriched_items(tables: SourceTables, path) -> dict[str, int]:
+    """Write ``enriched_items`` and check the joins in the same run; both counts.
+
+    Items are counted where they enter the joins and where they leave them, while the
+    rows are written. If the counts differ this raises, and readers of ``path`` never
+    see the rows.
+    """
+    into, out = Observation("items"), Observation("joined")
+    count = F.count(F.lit(1)).alias("n")
+    items = all_items(tables.prior, tables.train)
+    joined = with_products(
+        with_orders(items.observe(into, count), tables.orders), tables.products
+    ).observe(out, count)
+
+    def check() -> dict[str, int]:
+        joined_count = out.get["n"]
+        # Where the other side of a join is empty, Spark doesn't read the items at all.
+        raw_count = into.get["n"] if joined_count else items.count()
+        _compare(joined_count, raw_count)
+        return {"joined_count": joined_count, "raw_count": raw_count}
+
+    return write_checked(fill_gaps(joined, NULLABLE), path, check)
+
+
 def row_counts(**frames: DataFrame) -> DataFrame:
     """(dataset, row_count) of several frames in one job; only partial counts move."""
     counts = None

@@ -464,6 +464,13 @@ def oracle_sql() -> dict[str, str]:
         "s2_parquet_scan": _model("SELECT * FROM m_products"),
         "s3_parquet_sink": _model("SELECT * FROM m_products"),
         "s4_typed_ingest": _model(_VALUES),
+        "s4_quarantined_rows": _model(
+            "SELECT CASE WHEN order_id % 10 < 2 THEN 'quarantine' ELSE 'bronze' END AS dataset, "
+            "order_id || ',' || product_id || ',' || add_to_cart_order "
+            "|| CASE WHEN order_id % 10 = 1 THEN '' ELSE ',' || reordered END "
+            "|| CASE WHEN order_id % 10 = 0 THEN ',9' ELSE '' END AS row_text "
+            "FROM m_items WHERE eval_set = 'prior'"
+        ),
         "s5_source_tables": _model(f"SELECT {_NARROW_ITEM} FROM m_joined"),
         "s6_split_tags": _model("SELECT * FROM m_tags"),
         "c1_fill_and_cast": _model(
@@ -518,6 +525,7 @@ def oracle_sql() -> dict[str, str]:
             "days_since_prior_order, eval_set FROM m_baskets"
         ),
         "a3_user_sequences": _model(f"SELECT {_USER_COLUMNS} FROM m_users"),
+        "a3_incremental_users": _model(f"SELECT {_USER_COLUMNS} FROM m_users"),
         "a4_last_eval_set": _model("SELECT user_id, eval_set FROM m_users"),
         "a5_word_count": _with(_DOCUMENT_WORDS, select="SELECT * FROM m_counts"),
         "a7_aisle_departments": _model("SELECT * FROM m_aisle_departments"),
@@ -654,4 +662,9 @@ def oracle_sql() -> dict[str, str]:
             "SELECT (SELECT count(*) FROM m_joined) AS joined_count, "
             "(SELECT count(*) FROM m_items) AS raw_count"
         ),
+        "d1_checked_write": _model(
+            "SELECT (SELECT count(*) FROM m_joined) AS joined_count, "
+            "(SELECT count(*) FROM m_items) AS raw_count, "
+            "(SELECT count(*) FROM m_joined) AS stored_count"
+        ),
     }

@@ -21,6 +21,7 @@ from basketseq.operators import (
     diagnostics,
     enrich,
     history,
+    incremental,
     parsing,
     reorder_size,
     sampling,
@@ -249,6 +250,40 @@ def s6_split_tags(spark, folder):
     return Model(spark, folder).tags
 
 
+@query
+def s4_quarantined_rows(spark, folder):
+    """Prior items as CSV with planted rows: a tenth has a cell too many, a tenth one too
+    few. Whole rows are ingested, the others kept aside as text."""
+    source, target = new_folder(spark, "ragged"), new_folder(spark, "ragged-bronze")
+    prior = Model(spark, folder).tables.prior
+    cells = F.concat_ws(",", *(F.col(c).cast("string") for c in prior.columns[:-1]))
+    last = F.col(prior.columns[-1]).cast("string")
+    line = (
+        F.when(F.col("order_id") % 10 == 0, F.concat_ws(",", cells, last, F.lit("9")))
+        .when(F.col("order_id") % 10 == 1, cells)
+        .otherwise(F.concat_ws(",", cells, last))
+    )
+    # Every file has to begin with the header.
+    lines = prior.select(line.alias(",".join(prior.columns)))
+    lines.write.option("header", True).option("quoteAll", False).option("quote", "").csv(
+        files.child(source, "order_products__prior.csv"), sep="\t"
+    )
+    files.ingest_csv_tables(
+        spark,
+        source,
+        target,
+        {"order_products__prior": schemas.ORDER_PRODUCTS},
+        on_ragged_rows="quarantine",
+    )
+    kept = files.read_parquet(spark, files.child(target, "_quarantine/order_products__prior"))
+    whole = files.read_parquet(spark, files.child(target, "order_products__prior"))
+    return kept.select(F.lit("quarantine").alias("dataset"), "row_text").unionAll(
+        whole.select(
+            F.lit("bronze"), F.concat_ws(",", *(F.col(c).cast("string") for c in whole.columns))
+        )
+    )
+
+
 # --- cleaning ---------------------------------------------------------------
 
 
@@ -366,6 +401,19 @@ def a3_user_sequences(spark, folder):
     return Model(spark, folder).users_text
 
 
+@query
+def a3_incremental_users(spark, folder):
+    """Half of the orders first, then the rest in three batches, whatever their age."""
+    model, path = Model(spark, folder), files.child(new_folder(spark, "users"), "user_data")
+    items = enrich.enriched_items(model.tables)
+    batch = F.pmod(F.xxhash64("order_id"), F.lit(6))
+    first = baskets.order_baskets(items.where(batch >= 3))
+    incremental.build_users(baskets.user_sequences(first), path, n_buckets=16)
+    for number in range(3):
+        incremental.merge_orders(spark, path, items.where(batch == number))
+    return baskets.sequence_text(incremental.read_users(spark, path))
+
+
 @query
 def a3_user_sequences_with_test(spark, folder):
     """Test orders with items: they are the target, and their split is known."""
@@ -695,6 +743,17 @@ def d1_join_counts(spark, folder):
     )
 
 
+@query
+def d1_checked_write(spark, folder):
+    """Both counts come from the run that wrote the table."""
+    path = files.child(new_folder(spark, "checked"), "order_products")
+    counts = enrich.write_enriched_items(Model(spark, folder).tables, path)
+    stored = files.read_parquet(spark, path).agg(F.count(F.lit(1)).alias("stored_count"))
+    return stored.select(
+        *(F.lit(n).cast("bigint").alias(name) for name, n in counts.items()), "stored_count"
+    )
+
+
 @query
 def d2_partition_distribution(spark, folder):
     """What holds for any layout: all rows are counted, each partition once."""

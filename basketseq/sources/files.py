@@ -36,12 +36,25 @@ def write_parquet(df: DataFrame, path) -> None:
     df.write.parquet(str(path), mode="overwrite")
 
 
+#: The text of a row whose number of cells is not the header's.
+_RAGGED = "_ragged_row"
+
+
+def check_header(spark: SparkSession, path, names: list[str]) -> None:
+    """Raise unless the first line names the columns in the contract's order."""
+    found = spark.read.csv(str(path), header=True).columns
+    if [name.strip().lower() for name in found] != [name.lower() for name in names]:
+        raise ValueError(f"columns of {path} are {found}, expected {names}")
+
+
 def ingest_csv_tables(
     spark: SparkSession,
     input_dir,
     output_dir,
     source_tables: dict[str, str] = schemas.SOURCE_TABLES,
     on_bad_cells: str = "raise",
+    on_ragged_rows: str = "raise",
+    quarantine_dir=None,
 ) -> dict[str, int]:
     """Typed CSV -> parquet for the six source tables; returns the row counts.
 
@@ -50,30 +63,68 @@ def ingest_csv_tables(
     not left behind; ``on_bad_cells="null"`` writes it with nulls in their place.
     ``schemas.WIDE_SOURCE_TABLES`` as ``source_tables`` takes any 64-bit value.
 
-    Rows and bad cells are observed while the rows are written, so every file is
-    read once.
+    A row with more or fewer cells than the header is ragged. By default that raises,
+    too; ``on_ragged_rows="quarantine"`` leaves such rows out and writes them to
+    ``quarantine_dir`` (default: ``_quarantine`` in ``output_dir``), one table per
+    source table: ``file``, ``row_text``, and the ``cells`` as far as they go. Columns go by place, so every file's header
+    has to name them in the contract's order.
+
+    Rows, bad cells and ragged rows are observed while the rows are written, so every
+    file is read once; only a table with ragged rows to keep is read again for them.
     """
     if on_bad_cells not in ("raise", "null"):
         raise ValueError(f"on_bad_cells must be 'raise' or 'null', not {on_bad_cells!r}")
+    if on_ragged_rows not in ("raise", "quarantine"):
+        raise ValueError(
+            f"on_ragged_rows must be 'raise' or 'quarantine', not {on_ragged_rows!r}"
+        )
     counts = {}
     for table, schema in source_tables.items():
         seen = Observation(f"ingest_{table}")
         fields = _parse_datatype_string(schema).fields
+        source = child(input_dir, f"{table}.csv")
+        check_header(spark, source, [field.name for field in fields])
         text = ", ".join(f"{field.name} STRING" for field in fields)
-        cells = read_csv(spark, child(input_dir, f"{table}.csv"), text)
+        cells = spark.read.csv(
+            source,
+            schema=f"{text}, {_RAGGED} STRING",
+            header=True,
+            enforceSchema=False,
+            columnNameOfCorruptRecord=_RAGGED,
+        )
+        is_ragged = F.col(_RAGGED).isNotNull()
         typed = {f.name: F.col(f.name).try_cast(f.dataType) for f in fields}
         bad = [
-            F.count_if((F.trim(name) != "") & value.isNull()).alias(f"bad_{name}")
+            F.count_if(~is_ragged & (F.trim(name) != "") & value.isNull()).alias(f"bad_{name}")
             for name, value in typed.items()
         ]
-        rows = cells.observe(seen, F.count(F.lit(1)).alias("rows"), *bad)
+        rows = cells.observe(
+            seen,
+            F.count_if(~is_ragged).alias("rows"),
+            F.count_if(is_ragged).alias("ragged"),
+            *bad,
+        )
         target = child(output_dir, table)
-        write_parquet(rows.select(*[value.alias(name) for name, value in typed.items()]), target)
+        whole = rows.where(~is_ragged)
+        write_parquet(whole.select(*[value.alias(name) for name, value in typed.items()]), target)
         counts[table] = seen.get["rows"]
         wrong = {name: seen.get[f"bad_{name}"] for name in typed if seen.get[f"bad_{name}"]}
         if wrong and on_bad_cells == "raise":
             drop_folder(spark, target)
             raise ValueError(f"cells of {table} that do not fit their type, by column: {wrong}")
+        if seen.get["ragged"] and on_ragged_rows == "raise":
+            drop_folder(spark, target)
+            raise ValueError(
+                f"{seen.get['ragged']} rows of {table} have more or fewer than {len(fields)} cells"
+            )
+        if seen.get["ragged"]:
+            folder = quarantine_dir or child(output_dir, "_quarantine")
+            kept = cells.where(is_ragged).select(
+                F.input_file_name().alias("file"),
+                F.col(_RAGGED).alias("row_text"),
+                F.array(*typed).alias("cells"),
+            )
+            write_parquet(kept, child(folder, table))
     return counts
 
 
