@@ -245,16 +245,21 @@ def links_within(
     members: DataFrame, texts: DataFrame, key: list[str], shingle: int, percent: int
 ) -> DataFrame:
     """Links (u, v) between the members of each node (or pair of blocks), found by
-    comparing all of them; as few as hold the linked ones together."""
+    comparing all of them; as few as hold the linked ones together.
+
+    Where members carry ``comp``, the component they are known to be in, only links
+    between components are returned, from one component's id to another's.
+    """
+    known = "comp" if "comp" in members.columns else "cls"
 
     def compare(node: pd.DataFrame) -> pd.DataFrame:
         node = node.drop_duplicates("cls").sort_values("cls")
-        cls = node["cls"].to_numpy()
         first = joined_parts([_set_of(text, shingle) for text in node["text"]], percent)
-        other = first != np.arange(len(first))
-        return pd.DataFrame({"u": cls[first][other], "v": cls[other]})
+        met = node["known"].to_numpy()
+        links = pd.DataFrame({"u": met[first], "v": met})
+        return links[links["u"] != links["v"]].drop_duplicates()
 
-    met = members.select(*key, "cls").join(texts, "cls")
+    met = members.select(*key, "cls", F.col(known).alias("known")).join(texts, "cls")
     return met.groupBy(*key).applyInPandas(compare, "u long, v long")
 
 
