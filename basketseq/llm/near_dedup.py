@@ -7,17 +7,20 @@
    to their similarity.
 3. Independent trees branch the classes by chosen tokens. The choice depends on
    the node alone, so each class finds its own way down without a look at the
-   others. The first ``START_DEPTH`` levels are taken at once. Small nodes with the
-   same members in several trees are looked at once; large ones stay apart, since
-   their repeats are the independent trials that recall rests on.
+   others. The first ``START_DEPTH`` levels are taken at once. Nodes with the same
+   members in several trees are looked at once where they are compared exhaustively;
+   those that branch stay apart, since their repeats are the independent trials that
+   recall rests on.
 4. A small node (``LEAF`` members, ``LEAF_LOAD`` of text) is compared exhaustively,
    on the full sets, within one task; only the links that hold its parts together leave the task.
    Of larger nodes each member is compared with the smallest one at first. What
    all this links is contracted to components.
-5. Large nodes that still hold two components or more branch on, each by two
+5. Large nodes that still hold two components or more are compared exhaustively,
+   too, in pairs of blocks, where they have at most ``BLOCKS`` of them: that takes
+   fewer copies of a member than branching does. Larger ones branch on, each by two
    tokens of its own, so that a pair at the threshold survives each level more than
-   once on average (2 * 0.8 > 1). What is large at ``MAX_DEPTH`` is compared
-   exhaustively, too, in pairs of blocks.
+   once on average (2 * 0.8 > 1). At ``MAX_DEPTH`` all that is left is compared in
+   blocks, however many.
 
 Trees are repeated until a pair exactly at the threshold is missed with a
 probability below 1 - ``RECALL``, also where all its nodes stay large down to
@@ -53,6 +56,9 @@ MAX_DEPTH = 8
 #: texts' bytes where that is more (few long words, the same words over and over).
 LEAF = 1_024
 LEAF_LOAD = 1 << 20
+#: Blocks (half a small node each) up to which a large node is compared at once. Each
+#: member is copied for every other block; branching down would copy it twice a level.
+BLOCKS = 8
 RECALL = 0.999999
 
 _RANDOM = np.random.default_rng(977)
@@ -268,11 +274,16 @@ def _small() -> str:
     return f"(size <= {LEAF} and mass <= {LEAF_LOAD})"
 
 
+def _blocks() -> str:
+    """Number of blocks of a large node: two of them are no more than a small node."""
+    return f"cast(ceil(2 * greatest(size / {LEAF}, mass / {LEAF_LOAD})) as int)"
+
+
 def _nodes(members: DataFrame, **more: Column) -> DataFrame:
     """Size and mass of each node of two members or more, with ``more`` aggregates.
 
-    Of small nodes with the same members one is left: comparing it finds all that
-    the others would.
+    Of nodes with the same members that are compared exhaustively one is left:
+    comparing it finds all that the others would.
     """
     nodes = members.groupBy("node").agg(
         F.count("*").alias("size"),
@@ -283,7 +294,7 @@ def _nodes(members: DataFrame, **more: Column) -> DataFrame:
     )
     return (
         nodes.where("size > 1")
-        .groupBy("size", "x", "y", F.expr(f"if({_small()}, null, node)").alias("large"))
+        .groupBy("size", "x", "y", F.expr(f"if({_blocks()} <= {max(2, BLOCKS)}, null, node)").alias("large"))
         .agg(*(F.min(name).alias(name) for name in ("node", "mass", *more)))
         .drop("x", "y", "large")
     )
@@ -296,14 +307,13 @@ def _open_nodes(members: DataFrame) -> DataFrame:
 
 
 def _in_blocks(members: DataFrame) -> DataFrame:
-    """Members of large nodes, once for each pair of blocks that their own is in."""
-    blocks = F.expr(
-        f"cast(ceil(2 * greatest(size / {LEAF}, mass / {LEAF_LOAD})) as int)"
-    )
-    placed = members.withColumn("blocks", blocks).withColumn(
+    """Members of large nodes, once for each pair of different blocks that their own
+    is in; pairs within a block meet in each of these."""
+    placed = members.withColumn("blocks", F.expr(_blocks())).withColumn(
         "own", F.expr("cast(pmod(xxhash64(cls), blocks) as int)")
     )
-    return placed.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
+    others = placed.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    return others.where("other <> own").select(
         "*", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi")
     )
 
@@ -393,11 +403,12 @@ def near_duplicates(
                 links_within(live.where(_small()), texts, ["node"], shingle, percent)
             )
         large = live.where(f"not {_small()}")
-        if depth == MAX_DEPTH:
-            blocks = ["node", "lo", "hi"]
-            more.append(links_within(_in_blocks(large), texts, blocks, shingle, percent))
-        else:
-            children = child_nodes(large.join(classes.select("cls", "tokens"), "cls"))
+        at_once = large if depth == MAX_DEPTH else large.where(f"{_blocks()} <= {BLOCKS}")
+        blocks = ["node", "lo", "hi"]
+        more.append(links_within(_in_blocks(at_once), texts, blocks, shingle, percent))
+        if depth < MAX_DEPTH:
+            branching = large.where(f"{_blocks()} > {BLOCKS}")
+            children = child_nodes(branching.join(classes.select("cls", "tokens"), "cls"))
             members, _ = scratch.write(children, "children")
     if more:
         for part in more:

@@ -79,7 +79,10 @@ def test_equals_brute_force(spark, size, percent):
     check(near_dedup.near_duplicates(docs, shingle=size, percent=percent).collect(), size, percent)
 
 
-def test_large_nodes_branch_and_end_in_blocks(spark, monkeypatch):
+@pytest.mark.parametrize("blocks", [0, 6])
+def test_large_nodes_branch_and_end_in_blocks(spark, monkeypatch, blocks):
+    """All branch down to the last level, or the middling ones are compared at once."""
+    monkeypatch.setattr(near_dedup, "BLOCKS", blocks)
     monkeypatch.setattr(near_dedup, "LEAF", 4)
     monkeypatch.setattr(near_dedup, "MAX_DEPTH", 5)
     docs = spark.createDataFrame(random_docs(8, 3, 40, (3, 4, 5)), "doc_id long, text string")
