@@ -36,7 +36,8 @@ WHOLE_BANDS = (
     (10_000, 0.28, 0.80),
 )
 CHUNK_BYTES = 4_096
-#: Ratios that every chunk of at least half that size has to keep.
+#: Ratios that every chunk of at least half that size has to keep. A shorter last
+#: chunk is judged together with what precedes it, half a chunk in all.
 CHUNK_BAND = (0.25, 0.85)
 LEVEL = 3
 SYMBOLS = "#*$%&|<>"
@@ -80,11 +81,11 @@ def ratios(raw: bytes, packer: zstandard.ZstdCompressor) -> tuple[float, float,
     if not raw:
         return np.nan, np.nan, np.nan
     whole = len(packer.compress(raw)) / len(raw)
-    chunks = [
-        len(packer.compress(piece)) / len(piece)
-        for piece in (raw[i : i + CHUNK_BYTES] for i in range(0, len(raw), CHUNK_BYTES))
-        if 2 * len(piece) >= CHUNK_BYTES
-    ]
+    half = CHUNK_BYTES // 2
+    pieces = [raw[i : i + CHUNK_BYTES] for i in range(0, len(raw), CHUNK_BYTES)]
+    if len(pieces) > 1 and len(pieces[-1]) < half:
+        pieces[-1] = raw[-half:]
+    chunks = [len(packer.compress(p)) / len(p) for p in pieces if len(p) >= half]
     return (whole, min(chunks), max(chunks)) if chunks else (whole, np.nan, np.nan)
 
 

@@ -28,6 +28,8 @@ def brute(text):
         pieces = [raw[i : i + 4096] for i in range(0, len(raw), 4096)]
         kept = len(raw) < 150 or inside_band
         for piece in pieces:
+            if len(piece) < 2048 < len(raw):
+                piece = raw[-2048:]
             if len(piece) >= 2048:
                 kept &= 0.25 <= len(packer.compress(piece)) / len(piece) <= 0.85
     return {
@@ -76,6 +78,9 @@ def test_edge_rows(spark):
         ("".join(random.Random(1).choices([chr(c) for c in range(33, 127)] + [" "], k=9000)), False),
         # A repetitive passage inside a long ordinary text.
         (edge.words(3000, 4) + " " + "".join(f"{i % 10}" for i in range(9000)) + edge.words(3000, 6), False),
+        # The same at the end, shorter than half a chunk.
+        (edge.words(3000, 4)[:8191] + " " + "a" * 2000, False),
+        (edge.words(3000, 4)[:8191] + " " + edge.words(30, 5), True),
     ],
 )
 def test_bands(spark, text, kept):
