@@ -21,9 +21,15 @@ date         a day of 1900-2099              the day, by cycle walking
 email        local@host.tld                  letters and digits of the local
                                              part, each within its class
 credential   token/secret/password/key =     letters and digits, each within
-             16 or more characters           its class
+             16 or more characters           its class (long ones in pieces)
 ===========  ==============================  ==================================
 
+A finding ends where its kind ends: an IBAN at its country's length, a phone after 15
+digits at most and before a date. A number with country code 1 has ten digits; with
+other codes the groups of two or more digits that follow belong to it, since nothing
+tells them from a count. What is named as a credential is permuted as one, whatever
+it looks like.
+
 Left alone: anything that does not validate (16 digits that fail the Luhn test,
 version numbers of three parts, days outside 1900-2099).
 
@@ -40,25 +46,53 @@ from pyspark.sql import Column, DataFrame, functions as F
 ROUNDS = 8
 #: Set around findings; two code points that are no characters.
 MARK = "\ufdd0\ufdd1"
+#: Between a finding's first group (what a credential holds) and the finding.
+FLAG = "\ufdd2"
+#: Characters of a credential that are permuted together.
+CREDENTIAL_PIECE = 256
 KEY = "basketseq"
 
+# The length of an IBAN by country.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI",
+    20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban_pattern() -> str:
+    """By country first; other countries by groups, and the check digits decide."""
+    by_length = [
+        f"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{length // 4 - 1}}}"
+        + (f" ?[A-Z0-9]{{{length % 4}}}" if length % 4 else "")
+        for length, countries in IBAN_LENGTHS.items()
+    ]
+    other = r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"
+    return rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:{'|'.join([*by_length, other])})(?![A-Za-z0-9])"
+
+
+_DATE = r"(?:[0-9]{4}[\-/.][0-9]{2}[\-/.][0-9]{2}|[0-9]{2}[\-/.][0-9]{2}[\-/.][0-9]{4})"
 # The order counts: of two patterns at one place the earlier one wins.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9][A-Za-z0-9._%+\-]{0,63}+"
     r"@(?:[A-Za-z0-9\-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])",
-    "credential": r"(?<![A-Za-z0-9_\-])(?=[A-Za-z0-9_\-]{16})"
+    # The only group with a number: it tells a credential from its look-alikes.
+    "credential": r"(?<![A-Za-z0-9_\-.+/])(?=[A-Za-z0-9_\-.+/]{16})"
     r"(?<=(?i:token|secret|password|passwd|api[_-]?key)[ \t]{0,4}[=:][ \t]{0,4}[\"']?)"
-    r"[A-Za-z0-9_\-]{16,256}",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"
-    r"(?![A-Za-z0-9])",
-    "date": r"(?<![0-9])(?<![0-9][.\-/])(?:[0-9]{4}[\-/.][0-9]{2}[\-/.][0-9]{2}"
-    r"|[0-9]{2}[\-/.][0-9]{2}[\-/.][0-9]{4})(?![0-9]|[.\-/][0-9])",
+    r"([A-Za-z0-9_\-.+/]{15,}[A-Za-z0-9_\-+/]={0,2})",
+    "iban": _iban_pattern(),
+    "date": rf"(?<![0-9])(?<![0-9][.\-/]){_DATE}(?![0-9]|[.\-/][0-9])",
     "ipv4": r"(?<![0-9])(?<![0-9][.])(?:[0-9]{1,3}[.]){3}[0-9]{1,3}(?![0-9]|[.][0-9])",
-    "card": r"(?<![0-9])(?<![0-9][.,])(?:[0-9]{13,19}"
+    "card": r"(?<![0-9])(?<![0-9][.])(?:[0-9]{13,19}"
     r"|[0-9]{4}[ \-][0-9]{4}[ \-][0-9]{4}[ \-][0-9]{4}"
-    r"|[0-9]{4}[ \-][0-9]{6}[ \-][0-9]{5})(?![0-9]|[.,][0-9])",
+    r"|[0-9]{4}[ \-][0-9]{6}[ \-][0-9]{5})(?![0-9]|[.][0-9])",
     "ssn": r"(?<![0-9\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9\-])",
-    "phone": r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .\-]?\(?[0-9]{1,4}\)?(?:[ .\-]?[0-9]{2,4}){1,4}"
+    "phone": r"(?<![0-9A-Za-z+])(?:\+1[ .\-]?(?:\([0-9]{3}\)|[0-9]{3})[ .\-]?[0-9]{3}[ .\-]?[0-9]{4}"
+    # At most 15 digits; a blank is followed by no date and by no lone digit.
+    rf"|\+[0-9](?:(?: \(?(?!{_DATE})(?=[0-9]{{2}}|[0-9][ .\-][0-9]{{2}})|[.\-]|\)[ .\-]?|\()?[0-9]){{7,14}}"
     r"|(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[.\-])[2-9][0-9]{2}[.\-][0-9]{4})(?![0-9])",
 }
 ANY = "|".join(f"(?:{pattern})" for pattern in PATTERNS.values())
@@ -348,9 +382,20 @@ def _email(key: str, value: Column) -> Column:
     return F.concat(fresh, F.lit("@"), host)
 
 
+def _credential(key: str, value: Column) -> Column:
+    """Piece by piece: the network's cost grows with the square of what it permutes."""
+    pieces = F.regexp_extract_all(value, F.lit(f".{{1,{CREDENTIAL_PIECE}}}"), F.lit(0))
+
+    def permuted(piece: Column, i: Column) -> Column:
+        tweak = F.concat(F.lit("credential"), F.when(i > 0, i.cast("string")).otherwise(""))
+        return permuted_characters(key, tweak, piece)
+
+    return F.array_join(F.transform(pieces, permuted), "")
+
+
 _REPLACED = {
     "email": _email,
-    "credential": lambda key, value: permuted_characters(key, F.lit("credential"), value),
+    "credential": _credential,
     "iban": _iban,
     "date": _date,
     "ipv4": _ipv4,
@@ -358,7 +403,7 @@ _REPLACED = {
     "ssn": _ssn,
     "phone": _phone,
 }
-#: Tells the kind of a finding from the finding alone, first match first.
+#: Tells the kind of other findings than credentials, first match first.
 _LOOKS = {
     "email": "@",
     "ipv4": r"^(?:[0-9]{1,3}[.]){3}[0-9]{1,3}$",
@@ -367,16 +412,18 @@ _LOOKS = {
     "phone": r"^(?:[+(]|[0-9]{3}[.\-][0-9]{3}[.\-])",
     "card": r"^(?:[0-9]{13,19}|[0-9]{4}[ \-][0-9 \-]+)$",
     "iban": r"^[A-Z]{2}[0-9]{2}[A-Z0-9 ]{8,}$",
-    "credential": "",
 }
 
 
-def pseudonym(value: Column, key: str = KEY) -> Column:
-    """The pseudonym of one finding; the finding itself where it does not validate."""
-    out = F.when(F.lit(False), value)
+def pseudonym(value: Column, named: Column, key: str = KEY) -> Column:
+    """The pseudonym of one finding; the finding itself where it does not validate.
+
+    ``named`` holds for what is named as a credential.
+    """
+    out = F.when(named, _credential(key, value))
     for kind, look in _LOOKS.items():
-        out = out.when(value.rlike(look) if look else F.lit(True), _REPLACED[kind](key, value))
-    return out
+        out = out.when(value.rlike(look), _REPLACED[kind](key, value))
+    return out.otherwise(value)
 
 
 def with_pseudonyms(docs: DataFrame, text_col: str = "text", key: str = KEY) -> DataFrame:
@@ -384,11 +431,19 @@ def with_pseudonyms(docs: DataFrame, text_col: str = "text", key: str = KEY) ->
     text = F.col(text_col)
 
     def both(piece: Column, place: Column) -> Column:
-        new = F.when(place % 2 == 1, pseudonym(piece, key)).otherwise(piece)
-        return F.struct(piece.alias("old"), new.alias("new"))
-
-    # Gap, finding, gap, ... in one pass over the text; in two where it holds the mark.
-    found = F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
+        """A gap as it is; a finding without its flag, and its pseudonym."""
+        old = F.when(place % 2 == 1, F.substring_index(piece, FLAG, -1)).otherwise(piece)
+        named = ~piece.startswith(FLAG)
+        new = F.when(place % 2 == 1, pseudonym(old, named, key)).otherwise(piece)
+        return F.struct(old.alias("old"), new.alias("new"))
+
+    # Gap, flagged finding, gap, ... in one pass over the text; in two where it holds
+    # the mark.
+    found = F.zip_with(
+        F.regexp_extract_all(text, F.lit(ANY), F.lit(1)),
+        F.regexp_extract_all(text, F.lit(ANY), F.lit(0)),
+        lambda group, finding: F.concat(group, F.lit(FLAG), finding),
+    )
     in_two = F.flatten(
         F.zip_with(
             F.split(text, ANY, -1),
@@ -396,7 +451,7 @@ def with_pseudonyms(docs: DataFrame, text_col: str = "text", key: str = KEY) ->
             lambda gap, finding: F.array(gap, finding),
         )
     )
-    in_one = F.split(F.regexp_replace(text, ANY, f"{MARK}$0{MARK}"), MARK, -1)
+    in_one = F.split(F.regexp_replace(text, ANY, f"{MARK}$1{FLAG}$0{MARK}"), MARK, -1)
     pieces = docs.select(
         F.struct(*docs.columns).alias("row"),
         F.when(F.contains(text, F.lit(MARK)), in_two).otherwise(in_one).alias("pieces"),

@@ -1,3 +1,4 @@
+import base64
 import collections
 import random
 import re
@@ -31,7 +32,7 @@ def brute(text):
             if len(piece) < 2048 < len(raw):
                 piece = raw[-2048:]
             if len(piece) >= 2048:
-                kept &= 0.25 <= len(packer.compress(piece)) / len(piece) <= 0.85
+                kept &= 0.25 <= len(packer.compress(piece)) / len(piece) <= 0.72
     return {
         "n_words": len(words),
         "word_chars": sum(map(len, words)),
@@ -43,6 +44,18 @@ def brute(text):
     }
 
 
+def base64_words(n, seed):
+    rng = random.Random(seed)
+    return " ".join(base64.b64encode(rng.randbytes(9)).decode() for _ in range(n))
+
+
+def han_words(n, seed):
+    rng = random.Random(seed)
+    letters = [chr(0x4E00 + rng.randrange(20_000)) for _ in range(1_500)]
+    weights = [1 / (i + 10) for i in range(len(letters))]
+    return " ".join("".join(rng.choices(letters, weights, k=rng.randint(2, 6))) for _ in range(n))
+
+
 def checked(df):
     found = df.collect()
     for row in found:
@@ -76,6 +89,14 @@ def test_edge_rows(spark):
         # No window occurs twice, but the letters do: only compression shows it.
         (" ".join(f"{i:06d}abcdefghijklmnopqrstuvwxyz" * 2 for i in range(400)), False),
         ("".join(random.Random(1).choices([chr(c) for c in range(33, 127)] + [" "], k=9000)), False),
+        # Six random bits a byte, in words; from 1,200 bytes on, or filling a chunk.
+        (base64_words(100, 1), False),
+        (base64_words(250, 2), False),
+        (base64_words(900, 3), False),
+        (edge.words(3000, 4) + " " + base64_words(700, 4) + " " + edge.words(3000, 6), False),
+        # Three bytes a character, some of them frequent.
+        (han_words(500, 1), True),
+        (han_words(3000, 2), True),
         # A repetitive passage inside a long ordinary text.
         (edge.words(3000, 4) + " " + "".join(f"{i % 10}" for i in range(9000)) + edge.words(3000, 6), False),
         # The same at the end, shorter than half a chunk.
