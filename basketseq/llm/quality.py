@@ -26,21 +26,21 @@ from basketseq.llm.words import utf8, window_hashes, word_hashes
 
 #: (from this many bytes, lowest, highest whole-text ratio). Below the first
 #: length nothing can be said; frame overhead alone is a large share there.
-#: The upper limits lie below 0.75, six random bits a byte (base64), as soon as the
+#: The upper limits lie below 0.745, what base64 in words comes to, as soon as the
 #: frame's share allows, and above what letters of any script come to.
 WHOLE_BANDS = (
     (150, 0.40, 1.00),
     (300, 0.40, 0.92),
-    (600, 0.36, 0.79),
-    (1_200, 0.34, 0.74),
-    (2_500, 0.32, 0.71),
-    (5_000, 0.30, 0.70),
-    (10_000, 0.28, 0.70),
+    (600, 0.36, 0.80),
+    (1_200, 0.34, 0.75),
+    (2_500, 0.32, 0.74),
+    (5_000, 0.30, 0.74),
+    (10_000, 0.28, 0.74),
 )
 CHUNK_BYTES = 4_096
 #: Ratios that every chunk of at least half that size has to keep. A shorter last
 #: chunk is judged together with what precedes it, half a chunk in all.
-CHUNK_BAND = (0.25, 0.72)
+CHUNK_BAND = (0.25, 0.745)
 LEVEL = 3
 SYMBOLS = "#*$%&|<>"
 REPEAT_WINDOW = 3

@@ -32,7 +32,7 @@ def brute(text):
             if len(piece) < 2048 < len(raw):
                 piece = raw[-2048:]
             if len(piece) >= 2048:
-                kept &= 0.25 <= len(packer.compress(piece)) / len(piece) <= 0.72
+                kept &= 0.25 <= len(packer.compress(piece)) / len(piece) <= 0.745
     return {
         "n_words": len(words),
         "word_chars": sum(map(len, words)),
