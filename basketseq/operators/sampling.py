@@ -6,8 +6,14 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from basketseq import schemas
-from basketseq.operators.ranking import rank_in_ranges
 from basketseq.sources.files import child, write_csv
+from basketseq.sources.shared import materialise
+
+# Hexadecimal digits of a draw, and how many of them one round of counts tells apart.
+DRAW_DIGITS = 32
+PREFIX_DIGITS = 3
+# Users with a common prefix that are sorted to find the cut among them.
+FEW_USERS = 100_000
 
 
 def read_raw(spark: SparkSession, path) -> DataFrame:
@@ -46,15 +52,51 @@ def check_user_count(orders: DataFrame, sample_n: int) -> None:
 
 
 def sample_users(orders: DataFrame, sample_n: int, seed: int) -> DataFrame:
-    """Exactly ``sample_n`` distinct users, the same ones for the same seed.
-
-    Users are drawn in the order of a seeded hash of their id, so the draw
-    depends neither on row order nor on partitioning.
+    """Exactly ``sample_n`` distinct users (all, if fewer), the same ones for the same seed.
+
+    Users are drawn in the order of a seeded hash of their id, so the draw depends
+    neither on row order nor on partitioning. No user is sorted but those next to the
+    cut: users are counted by the first digits of their draw, which leaves one prefix
+    that the cut falls into, and so on within it until few users share the prefix. Those
+    before it are taken by comparison, the rest from within it. The distinct users are
+    written once, since all counts must see the same ones.
     """
     draw = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("user_id").cast("string")))
-    users = orders.select("user_id").distinct().withColumn("draw", draw)
-    ranked = rank_in_ranges(users, [F.asc("draw"), F.asc("user_id")], "rank")
-    return ranked.where(F.col("rank") <= sample_n).select("user_id")
+    users = materialise(
+        orders.select("user_id").distinct().withColumn("draw", draw), "drawn-users"
+    )
+    prefix, missing = _cut(users, sample_n)
+    if prefix is None:
+        return users.select("user_id")
+    before = users.where(F.col("draw") < prefix).select("user_id")
+    within = users.where(F.col("draw").startswith(prefix))
+    last = within.orderBy("draw", "user_id").limit(missing).select("user_id")
+    return before.unionByName(last)
+
+
+def _cut(users: DataFrame, sample_n: int) -> tuple[str | None, int]:
+    """The prefix of draws that the cut falls into, and how many of its users are
+    taken; no prefix where all users are. Each round collects ``16 ** PREFIX_DIGITS``
+    counts at most."""
+    prefix, missing = "", sample_n
+    while len(prefix) < DRAW_DIGITS:
+        digits = len(prefix) + PREFIX_DIGITS
+        counts = (
+            users.where(F.col("draw").startswith(prefix))
+            .groupBy(F.substring("draw", 1, digits).alias("prefix"))
+            .count()
+            .collect()
+        )
+        for found, count in sorted(tuple(row) for row in counts):
+            if count >= missing:
+                break
+            missing -= count
+        else:
+            return None, 0
+        prefix = found
+        if count <= FEW_USERS:
+            break
+    return prefix, missing
 
 
 def orders_of_users(orders: DataFrame, users: DataFrame) -> DataFrame:

@@ -1,3 +1,5 @@
+import hashlib
+
 import pytest
 
 from basketseq import schemas
@@ -20,6 +22,29 @@ def test_sample_is_exact_unique_and_repeatable(orders):
     assert sampling.sample_users(orders, 30, 3).count() == 30
 
 
+@pytest.mark.parametrize(
+    ("few", "sizes"), [(0, [17]), (1, [0, 1, 17, 61]), (1_000, [2, 60, 62])]
+)
+def test_sample_takes_the_first_draws_at_every_cut(spark, monkeypatch, few, sizes):
+    monkeypatch.setattr(sampling, "FEW_USERS", few)
+    monkeypatch.setattr(sampling, "PREFIX_DIGITS", 1)
+    users = [*range(60), None]
+    # Repeated rows are one user; a null is one, too.
+    orders = spark.createDataFrame([(u,) for u in users * 2], "user_id long")
+    digest = {u: hashlib.md5(f"7:{u}".encode() if u is not None else b"7").hexdigest() for u in users}
+    for n in sizes:
+        got = [r[0] for r in sampling.sample_users(orders, n, 7).collect()]
+        want = sorted(users, key=digest.get)[:n]
+        assert sorted(map(str, got)) == sorted(map(str, want)), n
+    assert sampling.sample_users(orders.limit(0), 3, 7).count() == 0
+
+
+def test_no_users_are_sorted_but_those_at_the_cut(orders):
+    plan = sampling.sample_users(orders, 9, 3)._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "Window" not in plan
+    assert "TakeOrderedAndProject" in plan
+
+
 def test_too_many_users_raise(orders):
     with pytest.raises(ValueError, match="sample_n=31 is greater than number of unique users .30 have"):
         sampling.check_user_count(orders, 31)
