@@ -42,3 +42,25 @@ def test_stored_table_jobs(spark, tmp_path, rows, as_text):
         as_text,
     )
     assert rows(again) == rows(table("product_history_data"))
+
+
+def test_files_of_bounded_rows(spark, tmp_path, monkeypatch):
+    """Later jobs get tasks of even work, though many rows take few bytes."""
+    source = brute.random_source(8)
+    write_source_csv(spark, source, tmp_path / "raw")
+    bronze, out = tmp_path / "bronze", tmp_path / "out"
+    files.ingest_csv_tables(spark, tmp_path / "raw", bronze)
+    monkeypatch.setattr(jobs, "USERS_PER_FILE", 2, raising=False)
+    monkeypatch.setattr(jobs, "PAIRS_PER_FILE", 3, raising=False)
+    jobs.build_order_products(spark, bronze, out)
+    jobs.build_user_data(spark, out / "order_products", out / "user_data")
+    jobs.build_product_history(spark, out, bronze, out / "product_history_data")
+    jobs.build_product_training(spark, bronze, out, out, 2, 3, 4)
+    for name, most in (("user_data", 2), ("product_history_data", 3), ("product_training_data", 3)):
+        table = files.read_parquet(spark, out / name)
+        per_file = table.groupBy("_metadata.file_path").count()
+        assert per_file.agg({"count": "max"}).first()[0] <= most
+    assert files.read_parquet(spark, out / "user_data").count() == len(brute.users_of(source))
+    assert files.read_parquet(spark, out / "product_training_data").count() == len(
+        brute.product_rows(source)
+    ) + len(brute.users_of(source))
