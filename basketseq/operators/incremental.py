@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from basketseq import schemas
 from basketseq.operators import baskets
 from basketseq.sources.files import child, read_parquet
-from basketseq.sources.shared import drop_folder
+from basketseq.sources.shared import drop_folder, new_folder
 from basketseq.sources.staged import beside, exists, put_in_place
 
 _PREFIX = "bucket_of_"
@@ -103,19 +103,23 @@ def merge_orders(spark: SparkSession, path, items: DataFrame) -> list[int]:
     """
     path, n_buckets = str(path).rstrip("/"), bucket_count(spark, path)
     name = f"{_PREFIX}{n_buckets}"
-    fresh = baskets.order_baskets(items.repartition("user_id", "order_id"))
-    found = items.select(bucket_of(F.col("user_id"), n_buckets).alias("bucket")).distinct()
-    buckets = sorted(row.bucket for row in found.collect())
-    if not buckets:
-        return []
-    stored = stored_buckets(spark, path, buckets)
+    # Written once: the buckets, the touched users and the merge all read the new baskets.
+    kept = new_folder(spark, "new-baskets")
     staged = beside(path, "staged")
     try:
+        baskets.order_baskets(items.repartition("user_id", "order_id")).write.parquet(kept)
+        fresh = read_parquet(spark, kept)
+        found = fresh.select(bucket_of(F.col("user_id"), n_buckets).alias("bucket")).distinct()
+        buckets = sorted(row.bucket for row in found.collect())
+        if not buckets:
+            return []
+        stored = stored_buckets(spark, path, buckets)
         _write_buckets(merged_users(stored, fresh), staged, n_buckets)
         for bucket in buckets:
             folder = f"{name}={bucket}"
             put_in_place(spark, child(staged, folder), child(path, folder))
     finally:
+        drop_folder(spark, kept)
         if exists(spark, staged):
             drop_folder(spark, staged)
     return buckets

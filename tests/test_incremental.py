@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from basketseq.operators import baskets, enrich, incremental
+from basketseq.sources.shared import shared_folder
 from tests.brute import random_source
 from tests.frames import source_tables
 
@@ -91,3 +92,25 @@ def test_edges(spark, tmp_path, rows):
     sequences(items).write.parquet(str(plain))
     with pytest.raises(ValueError):
         incremental.merge_orders(spark, plain, items)
+
+
+def test_new_items_are_computed_once(spark, tmp_path, rows):
+    """However many steps of the merge use the new orders; nothing is left behind."""
+    items = enrich.enriched_items(source_tables(spark, random_source(4)))
+    path, seen = tmp_path / "user_data", spark.sparkContext.accumulator(0)
+
+    @F.udf("boolean")
+    def counted(order_id):
+        seen.add(1)
+        return True
+
+    is_new = F.col("order_id") % 2 == 0
+    incremental.build_users(sequences(items.where(~is_new)), path, n_buckets=3)
+    # Fixed rows, so that the counting filter stays above them.
+    new = spark.createDataFrame(items.where(is_new).collect(), items.schema)
+    new = new.where(counted.asNondeterministic()("order_id"))
+    before = set(os.listdir(shared_folder(spark)))
+    assert incremental.merge_orders(spark, path, new)
+    assert seen.value == items.where(is_new).count() > 0
+    assert set(os.listdir(shared_folder(spark))) == before
+    assert stored(spark, path, rows) == rows(baskets.sequence_text(sequences(items)))
