@@ -136,15 +136,17 @@ def _state(spark: SparkSession, folder: str) -> tuple:
 
 @functools.cache
 def _csv_source(state: tuple, spark: SparkSession, folder: str) -> str:
-    """The six source tables as CSV below the shared folder, written once."""
-    model, target = Model(spark, folder), new_folder(spark, "csv")
+    """The six source tables as CSV below the shared folder, written once. Orders and
+    items are derived once and stored, not again for each table made from them."""
+    target = new_folder(spark, "csv")
+    tables = star_schema.stored_tables(spark, folder)
     frames = {
-        "orders": model.orders,
-        "products": model.products,
-        "order_products__prior": model.tables.prior,
-        "order_products__train": model.tables.train,
-        "aisles": star_schema.aisles_model(model.products),
-        "departments": star_schema.departments_model(model.products),
+        "orders": tables.orders,
+        "products": tables.products,
+        "order_products__prior": tables.prior,
+        "order_products__train": tables.train,
+        "aisles": star_schema.aisles_model(tables.products),
+        "departments": star_schema.departments_model(tables.products),
     }
     for name, frame in frames.items():
         files.write_csv(frame, files.child(target, f"{name}.csv"))
@@ -404,8 +406,8 @@ def a3_user_sequences(spark, folder):
 @query
 def a3_incremental_users(spark, folder):
     """Half of the orders first, then the rest in three batches, whatever their age."""
-    model, path = Model(spark, folder), files.child(new_folder(spark, "users"), "user_data")
-    items = enrich.enriched_items(model.tables)
+    path = files.child(new_folder(spark, "users"), "user_data")
+    items = enrich.enriched_items(star_schema.stored_tables(spark, folder))
     batch = F.pmod(F.xxhash64("order_id"), F.lit(6))
     first = baskets.order_baskets(items.where(batch >= 3))
     incremental.build_users(baskets.user_sequences(first), path, n_buckets=16)

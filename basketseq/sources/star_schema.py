@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from basketseq.sources.files import SourceTables, child, read_parquet
+from basketseq.sources.shared import materialise
 
 
 def orders_model(spark: SparkSession, folder) -> DataFrame:
@@ -72,10 +73,24 @@ def star_schema_tables(
     ``test_items`` adds them to the prior ones."""
     orders = orders_model(spark, folder)
     items = items_model(spark, folder, orders)
+    return _split_tables(orders, products_model(spark, folder), items, test_items)
+
+
+def stored_tables(spark: SparkSession, folder, test_items: bool = False) -> SourceTables:
+    """``star_schema_tables`` with orders and items written to the shared folder, for
+    several jobs on them: the join and the windows then run once."""
+    orders = materialise(orders_model(spark, folder), "orders")
+    items = materialise(items_model(spark, folder, orders), "items")
+    return _split_tables(orders, products_model(spark, folder), items, test_items)
+
+
+def _split_tables(
+    orders: DataFrame, products: DataFrame, items: DataFrame, test_items: bool
+) -> SourceTables:
     columns = ["order_id", "product_id", "add_to_cart_order", "reordered"]
     return SourceTables(
         orders=orders,
-        products=products_model(spark, folder),
+        products=products,
         prior=items.where(
             F.col("eval_set").isin("prior", "test") if test_items else F.col("eval_set") == "prior"
         ).select(columns),

@@ -3,7 +3,7 @@ from pyspark.errors import AnalysisException
 
 from basketseq import schemas
 from basketseq.functions.cleaning import fill_and_cast, fill_gaps
-from basketseq.sources import files
+from basketseq.sources import files, star_schema
 from tests.brute import random_source
 from tests.frames import source_tables
 
@@ -136,3 +136,14 @@ def test_fill_and_cast(spark, dtype, value, expected):
 def test_fill_gaps_touches_only_named_columns(spark):
     df = spark.createDataFrame([(None, None, 2.0)], "a double, b double, c double")
     assert tuple(fill_gaps(df, ["a", "c"]).first()) == (-1, None, 2)
+
+
+def test_star_schema_tables_are_stored_once(spark, rows):
+    """Prior and train items are read from the same stored table, without a second join."""
+    folder = "/root/testdata/sf0.001"
+    lazy = star_schema.star_schema_tables(spark, folder)
+    stored = star_schema.stored_tables(spark, folder)
+    for name in ("orders", "products", "prior", "train"):
+        assert rows(getattr(stored, name)) == rows(getattr(lazy, name))
+        plan = getattr(stored, name)._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan and "Window" not in plan
