@@ -1,6 +1,6 @@
 import pytest
 
-from basketseq.operators import enrich
+from basketseq.operators import baskets, enrich
 from basketseq.sources.files import SourceTables
 from tests.brute import random_source
 from tests.frames import source_tables
@@ -48,3 +48,19 @@ def test_row_counts(spark, rows):
         {"dataset": "a", "row_count": 4},
         {"dataset": "b", "row_count": 0},
     ]
+
+
+def test_joined_items_lie_by_order(spark, rows):
+    """Also where products are too many to broadcast: grouping them moves nothing."""
+    tables = source_tables(spark, random_source(3))
+    usual = rows(enrich.joined_items(tables))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        grouped = baskets.order_baskets(enrich.enriched_items(tables))
+        plan = grouped._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "hashpartitioning(order_id" in plan
+        assert "hashpartitioning(user_id" not in plan
+        assert rows(enrich.joined_items(tables)) == usual
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
