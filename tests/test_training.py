@@ -169,3 +169,21 @@ def test_pad_reorder_sizes_keeps_long_sizes(spark):
     row = training.pad_reorder_sizes(df, 2).first()
     assert (row["order_sizes"], row["reorder_sizes"], row["history_length"]) == ([5, 6], [0, 0], 0)
     assert (row["order_dows"], row["order_hours"], row["order_numbers"]) == ([0, 0], [0, 0], [1, 2])
+
+
+def test_encode_names_collects_numbers(spark, rows):
+    """One number a word, not a struct: any int as id, in the order of the words."""
+    products = spark.createDataFrame(
+        [(1, "b a c a"), (2, "z"), (3, "a"), (3, "b")], "product_id bigint, product_name string"
+    )
+    index = spark.createDataFrame(
+        [("a", 2**31 - 1), ("b", -(2**31)), ("c", 0)], "word string, word_idx int"
+    )
+    encoded = vocabulary.encode_names(products, index)
+    got = {tuple(r.values()) for r in rows(encoded)}
+    low, high = -(2**31), 2**31 - 1
+    # Of a product listed twice, equal places follow each other by id.
+    assert got == {(1, f"{low} {high} 0 {high}"), (2, ""), (3, f"{low} {high}")}
+    assert encoded.count() == 4
+    plan = encoded._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" in plan and "struct" not in plan
