@@ -211,3 +211,31 @@ def test_overlap_counts_differ_from_flag_sums(spark, rows):
     pairs = rows(history.product_history(users, tags, products))
     assert {r["history_reorder_size"] for r in pairs} == {"0 2"}
     assert rows(history.none_history(users, tags))[0]["history_reorder_size"] == "0 1"
+
+
+def test_aisles_of_a_large_product_table_are_broadcast(spark, tmp_path):
+    """By their real size, so that no pairs move for them."""
+    products = spark.range(20_000).selectExpr(
+        "int(id) AS product_id", "md5(string(id)) AS product_name",
+        "int(id % 5) AS aisle_id", "int(id % 5) AS department_id",
+    )
+    products.write.parquet(f"{tmp_path}/products")
+    users = spark.createDataFrame(
+        [(1, "train", "1 2", "1 2", "1 2", "1 2", "1_2 3")],
+        "user_id int, eval_set string, order_dows string, order_hours string, "
+        "days_since_prior_orders string, order_numbers string, aisle_ids string",
+    )
+    users.write.parquet(f"{tmp_path}/users")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20k")
+    try:
+        pairs = history.aisle_history(
+            spark.read.parquet(f"{tmp_path}/users").unionAll(users),
+            spark.read.parquet(f"{tmp_path}/products"),
+        )
+        plan = pairs._jdf.queryExecution().sparkPlan().toString()
+        assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+        assert sorted((r["aisle_id"], r["department_id"]) for r in pairs.collect()) == [
+            (1, 1), (1, 1), (2, 2), (2, 2)
+        ]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

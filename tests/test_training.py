@@ -187,3 +187,15 @@ def test_encode_names_collects_numbers(spark, rows):
     assert encoded.count() == 4
     plan = encoded._jdf.queryExecution().optimizedPlan().toString()
     assert "collect_list" in plan and "struct" not in plan
+
+
+def test_rows_move_to_their_names_unpadded(spark):
+    """Padded rows take ten times the bytes of stored ones, in the shuffle and its sort."""
+    source = brute.random_source(4)
+    tables = source_tables(spark, source)
+    users = baskets.user_sequences(baskets.order_baskets(enrich.enriched_items(tables)))
+    stored = history.product_history_with_none(users, split_tags(tables.orders), tables.products)
+    table = training.product_training(stored, tables.products, 2, 3, 4)
+    plan = table._jdf.queryExecution().optimizedPlan().toString()
+    after, _, before = plan.partition("Join LeftOuter")
+    assert "AS history_length" in after and "AS history_length" not in before
