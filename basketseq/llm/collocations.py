@@ -27,7 +27,9 @@ table gives an empty table. Other columns stay outside.
 from __future__ import annotations
 
 from bisect import bisect_right
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import count as counter
 
 import numpy as np
 import pandas as pd
@@ -69,14 +71,15 @@ class Chunk:
     """Words of one language, as numbers by first appearance; 0 is a mark."""
 
     def __init__(self):
-        self.number: dict[bytes, int] = {_MARK: 0}
-        self.parts: list[tuple[list[int], int]] = []
+        self.number: dict[bytes, int] = defaultdict(counter().__next__)
+        self.number[_MARK]
+        self.parts: list[tuple[np.ndarray, int]] = []
         self.size = 0
 
     def add(self, words: list[bytes], counted: int) -> None:
         """The first ``counted`` words start n-grams, the others only continue them."""
-        number = self.number
-        self.parts.append(([number.setdefault(w, len(number)) for w in words], counted))
+        numbers = list(map(self.number.__getitem__, words))
+        self.parts.append((np.array(numbers, dtype=np.int64), counted))
         self.size += len(words)
 
     def counted(self, depth: int) -> tuple[list[bytes], np.ndarray, np.ndarray]:
@@ -85,8 +88,8 @@ class Chunk:
         order = sorted(range(len(names)), key=names.__getitem__)
         rank = np.zeros(len(names) + 1, dtype=np.int64)
         rank[np.array(order, dtype=np.int64) + 1] = np.arange(1, len(names) + 1)
-        gap = [0] * (DEPTH - 1)
-        ids = np.array([i for part, _ in self.parts for i in (*part, *gap)], dtype=np.int64)
+        gap = np.zeros(DEPTH - 1, dtype=np.int64)
+        ids = np.concatenate([piece for part, _ in self.parts for piece in (part, gap)])
         starts = np.zeros(len(ids), dtype=bool)
         at = 0
         for part, counted in self.parts:

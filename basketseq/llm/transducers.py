@@ -18,6 +18,8 @@ import struct
 import numpy as np
 import zstandard
 
+from basketseq.llm.words import mixed
+
 DEPTH = 3
 BITS = 21
 #: Words that one automaton can tell apart.
@@ -56,50 +58,82 @@ def _nodes(codes: np.ndarray, counts: np.ndarray, depth: int) -> tuple[np.ndarra
     return paths, np.where(own, counts[reaching][fresh], 0)
 
 
+def _places(first: np.ndarray, fan: np.ndarray) -> np.ndarray:
+    """The places of all slices, one after the other."""
+    return np.arange(fan.sum()) + np.repeat(first - (np.cumsum(fan) - fan), fan)
+
+
+def _slice_hashes(pairs, first, fan, weights, salt: int) -> np.ndarray:
+    """Hashes of (weight, slice of ``pairs``). A slice's labels differ, so that the order
+    of its pairs need not count."""
+    sums = np.zeros(len(pairs) + 1, dtype=np.uint64)
+    np.cumsum(mixed(pairs.astype(np.uint64) + np.uint64(salt)), out=sums[1:])
+    inside = sums[first + fan] - sums[first]
+    return mixed(mixed(inside + fan.astype(np.uint64)) + weights.astype(np.uint64))
+
+
+def _equal_states(pairs, first, fan, weights, leader) -> bool:
+    """Whether each state equals its leader, transition by transition."""
+    asked = np.flatnonzero(leader != np.arange(len(leader)))
+    other = leader[asked]
+    if (fan[asked] != fan[other]).any() or (weights[asked] != weights[other]).any():
+        return False
+    mine, theirs = _places(first[asked], fan[asked]), _places(first[other], fan[asked])
+    return bool((pairs[mine] == pairs[theirs]).all())
+
+
 class _Register:
     """States built so far, equal ones once; transitions are complete when a state is
     looked up. States without transitions come first, one per weight."""
 
     def __init__(self, counts: np.ndarray):
         self.weights = np.unique(np.append(counts, 0))
-        self.known: dict[tuple[int, bytes], int] = {}
-        self.added: list[tuple[int, np.ndarray]] = []
+        # Of the states with transitions: weights, how many, and the (label, target) pairs.
+        self.weight = np.zeros(0, dtype=np.int64)
+        self.fan = np.zeros(0, dtype=np.int64)
+        self.pairs = np.zeros(0, dtype=np.int64)
 
     def terminals(self, weights: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.weights, weights)
 
-    def states(self, weights, first, last, labels, targets) -> np.ndarray:
+    def states(self, weights, first, fan, labels, targets) -> np.ndarray:
         """The state of each node: its weight, and its slice of (labels, targets)."""
         found = self.terminals(weights)
-        fan = last - first
-        pairs = labels << 32 | targets
-        # Nodes of one transition are told apart all at once, the others one by one.
-        single = np.flatnonzero(fan == 1)
-        _, place = np.unique(pairs[first[single]], return_inverse=True)
-        keys = place * len(self.weights) + found[single]
-        _, lead, member = np.unique(keys, return_index=True, return_inverse=True)
-        known = [
-            self._state(int(weights[i]), pairs[first[i] : last[i]]) for i in single[lead].tolist()
-        ]
-        found[single] = np.array(known, dtype=np.int64)[member]
-        for i in np.flatnonzero(fan > 1).tolist():
-            found[i] = self._state(int(weights[i]), pairs[first[i] : last[i]])
+        inner = np.flatnonzero(fan)
+        # Known states first, so that they lead the nodes equal to them.
+        n_known = len(self.weight)
+        pairs = np.concatenate([self.pairs, labels << 32 | targets])
+        firsts = np.concatenate([np.cumsum(self.fan) - self.fan, first[inner] + len(self.pairs)])
+        fans = np.concatenate([self.fan, fan[inner]])
+        all_weights = np.concatenate([self.weight, weights[inner]])
+        leader = self._leaders(pairs, firsts, fans, all_weights)
+        fresh = np.flatnonzero(leader == np.arange(len(leader)))
+        number = np.zeros(len(leader), dtype=np.int64)
+        number[fresh] = np.arange(len(fresh)) + len(self.weights)
+        found[inner] = number[leader[n_known:]]
+        self.weight, self.fan = all_weights[fresh], fans[fresh]
+        self.pairs = pairs[_places(firsts[fresh], fans[fresh])]
         return found
 
-    def _state(self, weight: int, pairs: np.ndarray) -> int:
-        key = (weight, pairs.tobytes())
-        if key not in self.known:
-            self.known[key] = len(self.weights) + len(self.added)
-            self.added.append((weight, pairs))
-        return self.known[key]
+    @staticmethod
+    def _leaders(pairs, first, fan, weights) -> np.ndarray:
+        """The first state equal to each one: by hashes, which are then verified."""
+        salt = 0
+        while True:
+            hashes = _slice_hashes(pairs, first, fan, weights, salt)
+            _, lead, member = np.unique(hashes, return_index=True, return_inverse=True)
+            leader = lead[member]
+            if _equal_states(pairs, first, fan, weights, leader):
+                return leader
+            salt += 1
 
     def arrays(self) -> tuple[np.ndarray, ...]:
         """Weights, first transition of each state (and the end), labels, targets."""
-        weight = np.concatenate([self.weights, np.array([w for w, _ in self.added], dtype=np.int64)])
-        fan = np.array([len(p) for _, p in self.added], dtype=np.int64)
-        first = np.concatenate([np.zeros(len(self.weights) + 1, dtype=np.int64), np.cumsum(fan)])
-        pairs = np.concatenate([np.zeros(0, dtype=np.int64), *(p for _, p in self.added)])
-        return weight, first, pairs >> 32, pairs & 0xFFFFFFFF
+        weight = np.concatenate([self.weights, self.weight])
+        first = np.concatenate(
+            [np.zeros(len(self.weights) + 1, dtype=np.int64), np.cumsum(self.fan)]
+        )
+        return weight, first, self.pairs >> 32, self.pairs & 0xFFFFFFFF
 
 
 class Transducer:
@@ -117,10 +151,16 @@ class Transducer:
             paths, weights = levels[depth]
             deeper = levels[depth + 1][0]
             shift = BITS * (DEPTH - depth)
-            first = np.searchsorted(deeper >> shift, paths >> shift)
-            last = np.searchsorted(deeper >> shift, paths >> shift, side="right")
+            # Nodes of one parent stand together; every parent is among the paths.
+            above = deeper >> shift
+            starts = np.flatnonzero(np.diff(above, prepend=-1))
+            parent = np.searchsorted(paths >> shift, above[starts])
+            first = np.zeros(len(paths), dtype=np.int64)
+            fan = np.zeros(len(paths), dtype=np.int64)
+            first[parent] = starts
+            fan[parent] = np.diff(starts, append=len(deeper))
             labels = (deeper >> (shift - BITS)) & _MASK
-            states = register.states(weights, first, last, labels, states)
+            states = register.states(weights, first, fan, labels, states)
         # The start equals no state below it, so it is the last one added.
         self.weight, self.first, self.label, self.target = register.arrays()
 
@@ -185,14 +225,14 @@ class Transducer:
 def of_entries(words: list[bytes], codes: np.ndarray, counts: np.ndarray) -> Transducer:
     """Over the words that the sequences use."""
     numbers = words_of(codes)
-    used = np.unique(numbers)
-    used = used[used > 0]
-    renumbered = np.searchsorted(used, numbers) + 1
+    is_used = np.zeros(len(words) + 1, dtype=bool)
+    is_used[numbers] = True
+    is_used[0] = False
+    renumbered = np.cumsum(is_used)[numbers]
     renumbered[numbers == 0] = 0
     # The numbers keep their order, and so do the codes.
-    return Transducer(
-        [words[i - 1] for i in used.tolist()], code_of(list(renumbered.T)), counts
-    )
+    used = np.flatnonzero(is_used).tolist()
+    return Transducer([words[i - 1] for i in used], code_of(list(renumbered.T)), counts)
 
 
 def union(automata: list[Transducer], least: int = 1) -> Transducer:

@@ -113,6 +113,24 @@ def test_automata(seed):
         assert len(set(states)) == len(states), "equal states are one"
 
 
+def test_states_of_equal_hashes_are_told_apart(monkeypatch):
+    """States are grouped by hashes all at once; hashes that meet are tried anew."""
+    salts, hashes = [], transducers._slice_hashes
+
+    def meeting(pairs, first, fan, weights, salt):
+        salts.append(salt)
+        return hashes(pairs, first, fan, weights, salt) % np.uint64(2 if salt < 2 else 1 << 63)
+
+    monkeypatch.setattr(transducers, "_slice_hashes", meeting)
+    rng = random.Random(7)
+    counts = random_counts(rng) or {(b"a", b"b"): 1}
+    built = automaton_of(counts)
+    assert max(salts) == 2
+    assert built.weights_of(list(counts)) == list(counts.values())
+    monkeypatch.undo()
+    assert len(built.weight) == len(automaton_of(counts).weight)
+
+
 def test_edge_rows(spark):
     docs = edge.frame(spark)
     want = brute([(r[2], r[1]) for r in edge.ROWS])
