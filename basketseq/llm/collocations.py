@@ -37,12 +37,14 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from basketseq.llm.prefix_sums import sums_before
 from basketseq.llm.scratch import Scratch
-from basketseq.llm.transducers import DEPTH, Transducer, code_of, of_entries, union, words_of
+from basketseq.llm.transducers import DEPTH, Transducer, code_of, of_groups, union, words_of
 from basketseq.llm.words import utf8
 
 #: Word occurrences that a chunk counts at once, and that a prefix range is about.
-CHUNK_WORDS = 1 << 19
+CHUNK_WORDS = 1 << 20
 RANGE_WORDS = 1 << 20
+#: Sequences whose automata are built at once, about.
+BLOCK_SEQUENCES = 1 << 18
 MAX_RANGES = 1 << 14
 BOUND_BYTES = 32
 LEAST_COUNT = 10
@@ -78,8 +80,8 @@ class Chunk:
 
     def add(self, words: list[bytes], counted: int) -> None:
         """The first ``counted`` words start n-grams, the others only continue them."""
-        numbers = list(map(self.number.__getitem__, words))
-        self.parts.append((np.array(numbers, dtype=np.int64), counted))
+        numbers = np.fromiter(map(self.number.__getitem__, words), np.int32, len(words))
+        self.parts.append((numbers, counted))
         self.size += len(words)
 
     def counted(self, depth: int) -> tuple[list[bytes], np.ndarray, np.ndarray]:
@@ -88,7 +90,7 @@ class Chunk:
         order = sorted(range(len(names)), key=names.__getitem__)
         rank = np.zeros(len(names) + 1, dtype=np.int64)
         rank[np.array(order, dtype=np.int64) + 1] = np.arange(1, len(names) + 1)
-        gap = np.zeros(DEPTH - 1, dtype=np.int64)
+        gap = np.zeros(DEPTH - 1, dtype=np.int32)
         ids = np.concatenate([piece for part, _ in self.parts for piece in (part, gap)])
         starts = np.zeros(len(ids), dtype=bool)
         at = 0
@@ -110,22 +112,28 @@ class Chunk:
 def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[str, Chunk]]:
     """Chunks of a task's texts per language, each as soon as it is full."""
     held: dict[str, Chunk] = {}
-    total = 0
+    # Words held, and those of them that differ, which take more memory.
+    total = names = 0
+    # Below the words that an automaton can tell apart, also for a chunk nearly full.
+    most = max(1, CHUNK_WORDS // 2)
     for batch in batches:
         for lang, text in zip(batch["lang"], batch["text"], strict=True):
             words = tokens(text)
-            for at in range(0, len(words), CHUNK_WORDS):
-                part = words[at : at + CHUNK_WORDS + DEPTH - 1]
+            for at in range(0, len(words), most):
+                part = words[at : at + most + DEPTH - 1]
                 chunk = held.setdefault(lang, Chunk())
-                chunk.add(part, min(CHUNK_WORDS, len(part)))
-                total += len(part)
-                if chunk.size >= CHUNK_WORDS:
-                    total -= chunk.size
-                    yield lang, held.pop(lang)
-            # Many languages at once: none may be full, but all together are.
-            if total >= 2 * CHUNK_WORDS:
-                yield from held.items()
-                held, total = {}, 0
+                known = len(chunk.number)
+                chunk.add(part, min(most, len(part)))
+                total, names = total + len(part), names + len(chunk.number) - known
+                full = [lang] if chunk.size >= CHUNK_WORDS else []
+                # Many languages at once: none may be full, but all together are.
+                if total >= 4 * CHUNK_WORDS or names >= CHUNK_WORDS:
+                    by_size = sorted(held, key=lambda lang: held[lang].size, reverse=True)
+                    full = by_size[: -(-len(by_size) // 4)]
+                for one in full:
+                    chunk = held.pop(one)
+                    total, names = total - chunk.size, names - len(chunk.number) + 1
+                    yield one, chunk
     yield from held.items()
 
 
@@ -209,12 +217,15 @@ def range_automata(texts: DataFrame, ranges: Ranges) -> DataFrame:
                 continue
             paths = ranges.paths(lang, words, words_of(codes))
             order = np.argsort(paths, kind="stable")
-            cuts = np.flatnonzero(np.diff(paths[order])) + 1
-            rows = []
-            for part in np.split(order, cuts):
-                automaton = of_entries(words, codes[part], counts[part])
-                rows.append((lang, int(paths[part[0]]), automaton.packed()))
-            yield pd.DataFrame(rows, columns=["lang", "path", "automaton"])
+            starts = np.flatnonzero(np.diff(paths[order], prepend=-1))
+            # Whole ranges, a block of them at once.
+            blocks = np.flatnonzero(np.diff(starts // BLOCK_SEQUENCES, prepend=-1))
+            for some in np.split(order, starts[blocks[1:]]):
+                groups = np.cumsum(np.diff(paths[some], prepend=paths[some[0]]) != 0)
+                built = of_groups(words, codes[some], counts[some], groups)
+                found = paths[some[np.flatnonzero(np.diff(groups, prepend=-1))]]
+                packed = [automaton.packed() for automaton in built]
+                yield pd.DataFrame({"lang": lang, "path": found, "automaton": packed})
 
     return texts.mapInPandas(walk, "lang string, path long, automaton binary")
 

@@ -43,21 +43,6 @@ def words_of(codes: np.ndarray) -> np.ndarray:
     return (codes[:, None] >> shifts) & _MASK
 
 
-def _nodes(codes: np.ndarray, counts: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct prefixes of ``depth`` words, sorted, and their counts (0: none of its own)."""
-    shift = BITS * (DEPTH - depth)
-    if depth == 0:
-        return np.zeros(1, dtype=np.int64), np.zeros(1, dtype=np.int64)
-    reaching = (codes >> shift) & _MASK > 0
-    prefixes = codes[reaching] >> shift << shift
-    fresh = np.ones(len(prefixes), dtype=bool)
-    fresh[1:] = prefixes[1:] != prefixes[:-1]
-    paths = prefixes[fresh]
-    # A prefix that is counted itself stands before its continuations.
-    own = codes[reaching][fresh] == paths
-    return paths, np.where(own, counts[reaching][fresh], 0)
-
-
 def _places(first: np.ndarray, fan: np.ndarray) -> np.ndarray:
     """The places of all slices, one after the other."""
     return np.arange(fan.sum()) + np.repeat(first - (np.cumsum(fan) - fan), fan)
@@ -83,22 +68,29 @@ def _equal_states(pairs, first, fan, weights, leader) -> bool:
 
 
 class _Register:
-    """States built so far, equal ones once; transitions are complete when a state is
-    looked up. States without transitions come first, one per weight."""
-
-    def __init__(self, counts: np.ndarray):
-        self.weights = np.unique(np.append(counts, 0))
+    """States of several automata built so far, equal ones once; transitions are complete
+    when a state is looked up. States without transitions come first, one per automaton
+    and weight; so states of different automata have no target in common."""
+
+    def __init__(self, counts: np.ndarray, groups: np.ndarray, n_groups: int):
+        """``groups`` are the numbers of the automata that the counts belong to."""
+        self.known = np.unique(np.append(counts, 0))
+        keys = groups * len(self.known) + np.searchsorted(self.known, counts)
+        self.keys = np.unique(np.append(keys, np.arange(n_groups) * len(self.known)))
+        self.weights = self.known[self.keys % len(self.known)]
         # Of the states with transitions: weights, how many, and the (label, target) pairs.
         self.weight = np.zeros(0, dtype=np.int64)
         self.fan = np.zeros(0, dtype=np.int64)
         self.pairs = np.zeros(0, dtype=np.int64)
+        self.group = self.keys // len(self.known)
 
-    def terminals(self, weights: np.ndarray) -> np.ndarray:
-        return np.searchsorted(self.weights, weights)
+    def terminals(self, weights: np.ndarray, groups: np.ndarray) -> np.ndarray:
+        keys = groups * len(self.known) + np.searchsorted(self.known, weights)
+        return np.searchsorted(self.keys, keys)
 
-    def states(self, weights, first, fan, labels, targets) -> np.ndarray:
+    def states(self, weights, groups, first, fan, labels, targets) -> np.ndarray:
         """The state of each node: its weight, and its slice of (labels, targets)."""
-        found = self.terminals(weights)
+        found = self.terminals(weights, groups)
         inner = np.flatnonzero(fan)
         # Known states first, so that they lead the nodes equal to them.
         n_known = len(self.weight)
@@ -112,6 +104,7 @@ class _Register:
         number[fresh] = np.arange(len(fresh)) + len(self.weights)
         found[inner] = number[leader[n_known:]]
         self.weight, self.fan = all_weights[fresh], fans[fresh]
+        self.group = np.append(self.group, groups[inner[fresh[fresh >= n_known] - n_known]])
         self.pairs = pairs[_places(firsts[fresh], fans[fresh])]
         return found
 
@@ -127,13 +120,25 @@ class _Register:
                 return leader
             salt += 1
 
-    def arrays(self) -> tuple[np.ndarray, ...]:
-        """Weights, first transition of each state (and the end), labels, targets."""
+    def automata(self, n_groups: int) -> list[tuple[np.ndarray, ...]]:
+        """Of each automaton: weights, first transition of each state (and the end),
+        labels, targets."""
         weight = np.concatenate([self.weights, self.weight])
-        first = np.concatenate(
-            [np.zeros(len(self.weights) + 1, dtype=np.int64), np.cumsum(self.fan)]
-        )
-        return weight, first, self.pairs >> 32, self.pairs & 0xFFFFFFFF
+        fan = np.concatenate([np.zeros(len(self.weights), dtype=np.int64), self.fan])
+        # Together by automaton; the order within one stays.
+        order = np.argsort(self.group, kind="stable")
+        ends = np.searchsorted(self.group[order], np.arange(n_groups + 1))
+        number = np.empty(len(order), dtype=np.int64)
+        number[order] = np.arange(len(order)) - ends[self.group[order]]
+        first = np.append(0, np.cumsum(fan[order]))
+        pairs = self.pairs[_places((np.cumsum(fan) - fan)[order], fan[order])]
+        weight, labels, targets = weight[order], pairs >> 32, number[pairs & 0xFFFFFFFF]
+        found = []
+        for begin, end in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+            own = first[begin : end + 1]
+            among = slice(own[0], own[-1])
+            found.append((weight[begin:end], own - own[0], labels[among], targets[among]))
+        return found
 
 
 class Transducer:
@@ -142,45 +147,21 @@ class Transducer:
 
     def __init__(self, words: list[bytes], codes: np.ndarray, counts: np.ndarray):
         """``codes`` sorted and distinct, over numbers from 1 into ``words``."""
+        self._set(words, _built(codes, counts, np.zeros(len(codes), dtype=np.int64), 1)[0])
+
+    def _set(self, words: list[bytes], arrays: tuple[np.ndarray, ...]) -> None:
         self.words = words
-        register = _Register(counts)
-        # Nodes of the tree of sequences, per depth: code of the path, weight.
-        levels = [_nodes(codes, counts, depth) for depth in range(DEPTH + 1)]
-        states = register.terminals(levels[DEPTH][1])
-        for depth in range(DEPTH - 1, -1, -1):
-            paths, weights = levels[depth]
-            deeper = levels[depth + 1][0]
-            shift = BITS * (DEPTH - depth)
-            # Nodes of one parent stand together; every parent is among the paths.
-            above = deeper >> shift
-            starts = np.flatnonzero(np.diff(above, prepend=-1))
-            parent = np.searchsorted(paths >> shift, above[starts])
-            first = np.zeros(len(paths), dtype=np.int64)
-            fan = np.zeros(len(paths), dtype=np.int64)
-            first[parent] = starts
-            fan[parent] = np.diff(starts, append=len(deeper))
-            labels = (deeper >> (shift - BITS)) & _MASK
-            states = register.states(weights, first, fan, labels, states)
-        # The start equals no state below it, so it is the last one added.
-        self.weight, self.first, self.label, self.target = register.arrays()
+        self.weight, self.first, self.label, self.target = arrays
+
+    @classmethod
+    def of_arrays(cls, words: list[bytes], arrays: tuple[np.ndarray, ...]) -> Transducer:
+        found = object.__new__(cls)
+        found._set(words, arrays)
+        return found
 
     def entries(self) -> tuple[np.ndarray, np.ndarray]:
         """All counted sequences: codes, sorted, and counts."""
-        weight, first, label, target = self.weight, self.first, self.label, self.target
-        states = np.array([len(weight) - 1])
-        prefix = np.zeros(1, dtype=np.int64)
-        codes, counts = [], []
-        for depth in range(DEPTH):
-            fan = first[states + 1] - first[states]
-            start = np.cumsum(fan) - fan
-            at = np.arange(fan.sum()) - np.repeat(start - first[states], fan)
-            shift = BITS * (DEPTH - 1 - depth)
-            prefix = np.repeat(prefix, fan) | (label[at] << shift)
-            states = target[at]
-            counted = weight[states] > 0
-            codes.append(prefix[counted])
-            counts.append(weight[states][counted])
-        codes, counts = np.concatenate(codes), np.concatenate(counts)
+        codes, counts = _entries([self], [np.arange(len(self.words) + 1)])
         order = np.argsort(codes)
         return codes[order], counts[order]
 
@@ -197,14 +178,12 @@ class Transducer:
     def unpacked(cls, data: bytes) -> Transducer:
         raw = zstandard.ZstdDecompressor().decompress(data)
         n_words, size, states, transitions = struct.unpack_from("<4q", raw)
-        found = object.__new__(cls)
-        found.words = raw[32 : 32 + size].split(b"\n") if n_words else []
+        words = raw[32 : 32 + size].split(b"\n") if n_words else []
         planes = np.frombuffer(raw, dtype=np.uint8, offset=32 + size)
         numbers = np.ascontiguousarray(planes.reshape(8, -1).T).view("<i8").ravel()
         ends = np.cumsum([states, states + 1, transitions, transitions])
-        parts = np.split(numbers, ends[:-1])
-        found.weight, found.first, found.label, found.target = parts
-        return found
+        bounds = [0, *ends.tolist()]
+        return cls.of_arrays(words, tuple(numbers[i:j] for i, j in zip(bounds, bounds[1:])))
 
     def weights_of(self, sequences: list[tuple[bytes, ...]]) -> list[int]:
         """Composition with sequences: the weight at the end of each one's path, 0
@@ -222,17 +201,104 @@ class Transducer:
         return np.where(hit, counts[at], 0).tolist()
 
 
-def of_entries(words: list[bytes], codes: np.ndarray, counts: np.ndarray) -> Transducer:
-    """Over the words that the sequences use."""
+def _entries(
+    automata: list[Transducer], renumber: list[np.ndarray]
+) -> tuple[np.ndarray, np.ndarray]:
+    """Codes and counts of all automata, one level at a time, their word numbers replaced."""
+
+    def shifted(parts: list[np.ndarray], sizes: list[int]) -> np.ndarray:
+        return np.concatenate(parts) + np.repeat(_before(sizes), [len(p) for p in parts])
+
+    n_states = [len(one.weight) for one in automata]
+    weight = np.concatenate([one.weight for one in automata])
+    fan = np.concatenate([one.first[1:] - one.first[:-1] for one in automata])
+    first = np.cumsum(fan) - fan
+    target = shifted([one.target for one in automata], n_states)
+    number = shifted([one.label for one in automata], [len(r) for r in renumber])
+    label = np.concatenate(renumber)[number]
+    states = np.cumsum(n_states) - 1
+    prefix = np.zeros(len(automata), dtype=np.int64)
+    codes, counts = [], []
+    for depth in range(DEPTH):
+        at = _places(first[states], fan[states])
+        shift = BITS * (DEPTH - 1 - depth)
+        prefix = np.repeat(prefix, fan[states]) | (label[at] << shift)
+        states = target[at]
+        counted = weight[states] > 0
+        codes.append(prefix[counted])
+        counts.append(weight[states][counted])
+    return np.concatenate(codes), np.concatenate(counts)
+
+
+def _before(sizes: list[int]) -> np.ndarray:
+    return np.cumsum(sizes) - sizes
+
+
+def _own_words(codes: np.ndarray, groups: np.ndarray, n_groups: int, n_words: int):
+    """Codes over the words that each group uses; the words of all groups, and where
+    those of a group end. Numbers keep their order, and so do the codes."""
     numbers = words_of(codes)
-    is_used = np.zeros(len(words) + 1, dtype=bool)
-    is_used[numbers] = True
-    is_used[0] = False
-    renumbered = np.cumsum(is_used)[numbers]
-    renumbered[numbers == 0] = 0
-    # The numbers keep their order, and so do the codes.
-    used = np.flatnonzero(is_used).tolist()
-    return Transducer([words[i - 1] for i in used], code_of(list(renumbered.T)), counts)
+    is_word = numbers > 0
+    keys = (groups[:, None] * (n_words + 1) + numbers)[is_word]
+    used, place = np.unique(keys, return_inverse=True)
+    ends = np.searchsorted(used, np.arange(n_groups + 1) * (n_words + 1))
+    numbers[is_word] = place - ends[keys // (n_words + 1)] + 1
+    return code_of(list(numbers.T)), used % (n_words + 1), ends
+
+
+def _built(
+    codes: np.ndarray, counts: np.ndarray, groups: np.ndarray, n_groups: int
+) -> list[tuple[np.ndarray, ...]]:
+    """The arrays of an automaton per group; all are built at once."""
+    register = _Register(counts, groups, n_groups)
+    # Nodes of the trees of sequences, per depth: the first of each node's sequences (a
+    # prefix that is counted itself stands before its continuations), parent, weight.
+    fresh_group = np.diff(groups, prepend=-1) > 0
+    above = np.cumsum(fresh_group) - 1
+    levels = [(np.flatnonzero(fresh_group), None, np.zeros(n_groups, dtype=np.int64))]
+    for depth in range(1, DEPTH + 1):
+        shift = BITS * (DEPTH - depth)
+        prefixes = codes >> shift
+        fresh = (prefixes & _MASK > 0) & (fresh_group | (np.diff(prefixes, prepend=-1) != 0))
+        starts = np.flatnonzero(fresh)
+        own = codes[starts] == prefixes[starts] << shift
+        levels.append((starts, above[starts], np.where(own, counts[starts], 0)))
+        above = np.cumsum(fresh) - 1
+    states = register.terminals(levels[DEPTH][2], groups[levels[DEPTH][0]])
+    for depth in range(DEPTH - 1, -1, -1):
+        starts, _, weights = levels[depth]
+        of_group = groups[starts] if depth else np.arange(n_groups)
+        deeper, parent, _ = levels[depth + 1]
+        # Nodes of one parent stand together.
+        fan = np.bincount(parent, minlength=len(weights))
+        labels = (codes[deeper] >> (BITS * (DEPTH - 1 - depth))) & _MASK
+        states = register.states(weights, of_group, np.cumsum(fan) - fan, fan, labels, states)
+    # A start equals no state below it, so it is the last one of its automaton.
+    return register.automata(n_groups)
+
+
+def of_groups(
+    words: list[bytes], codes: np.ndarray, counts: np.ndarray, groups: np.ndarray
+) -> list[Transducer]:
+    """An automaton per group, over the words that its sequences use.
+
+    Groups are numbered from 0 and stand together; codes, over numbers from 1 into
+    ``words``, are distinct and sorted within each.
+    """
+    n_groups = int(groups[-1]) + 1 if len(groups) else 1
+    codes, used, ends = _own_words(codes, groups, n_groups, len(words))
+    names = [words[i - 1] for i in used.tolist()]
+    return [
+        Transducer.of_arrays(names[begin:end], arrays)
+        for begin, end, arrays in zip(
+            ends[:-1].tolist(), ends[1:].tolist(), _built(codes, counts, groups, n_groups), strict=True
+        )
+    ]
+
+
+def of_entries(words: list[bytes], codes: np.ndarray, counts: np.ndarray) -> Transducer:
+    """Over the words that the sequences use; ``codes`` sorted and distinct."""
+    return of_groups(words, codes, counts, np.zeros(len(codes), dtype=np.int64))[0]
 
 
 def union(automata: list[Transducer], least: int = 1) -> Transducer:
@@ -241,14 +307,10 @@ def union(automata: list[Transducer], least: int = 1) -> Transducer:
     if len(words) > MAX_WORDS:
         raise ValueError(f"{len(words)} words in one range: use smaller ranges")
     number = {word: i for i, word in enumerate(words, 1)}
-    all_codes, all_counts = [], []
-    for one in automata:
-        codes, counts = one.entries()
-        renumber = np.array([0, *(number[word] for word in one.words)])
-        all_codes.append(code_of(list(renumber[words_of(codes)].T)))
-        all_counts.append(counts)
-    codes, place = np.unique(np.concatenate(all_codes), return_inverse=True)
+    renumber = [np.array([0, *map(number.__getitem__, one.words)]) for one in automata]
+    all_codes, all_counts = _entries(automata, renumber)
+    codes, place = np.unique(all_codes, return_inverse=True)
     counts = np.zeros(len(codes), dtype=np.int64)
-    np.add.at(counts, place, np.concatenate(all_counts))
+    np.add.at(counts, place, all_counts)
     kept = counts >= least
     return of_entries(words, codes[kept], counts[kept])

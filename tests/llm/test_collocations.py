@@ -150,3 +150,35 @@ def test_query_and_sql(spark, tmp_path):
     base.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
     columns = ", ".join(found[0].__fields__)
     assert sorted(map(tuple, found)) == sorted(base.execute(f"SELECT {columns} FROM ({registry.OP13_SQL})").fetchall())
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_automata_of_groups_are_those_built_alone(seed):
+    rng = random.Random(seed)
+    tables = [random_counts(rng) or {(b"a",): 2} for _ in range(6)]
+    words = sorted({w for table in tables for k in table for w in k})
+    number = {w: i for i, w in enumerate(words, 1)}
+    rows = [(g, [number[w] for w in k], table[k]) for g, table in enumerate(tables) for k in sorted(table)]
+    columns = [np.array([k[p] if p < len(k) else 0 for _, k, _ in rows], dtype=np.int64) for p in range(3)]
+    found = transducers.of_groups(
+        words, transducers.code_of(columns), np.array([n for *_, n in rows]), np.array([g for g, *_ in rows])
+    )
+    assert [one.packed() for one in found] == [automaton_of(table).packed() for table in tables]
+    assert [one.weights_of(list(t)) for one, t in zip(found, tables)] == [list(t.values()) for t in tables]
+
+
+def test_full_languages_leave_the_others_to_grow(monkeypatch):
+    """Each language's chunk goes when it is full; short ones were written with it."""
+    monkeypatch.setattr(collocations, "CHUNK_WORDS", 100)
+    rows = [(lang, "a b c d e") for _ in range(40) for lang in ("de", "en", "en", "fr")]
+    batches = [collocations.pd.DataFrame(rows, columns=["lang", "text"])]
+    sizes = [(lang, chunk.size) for lang, chunk in collocations._chunks(iter(batches))]
+    assert sorted(sizes) == [("de", 100)] * 2 + [("en", 100)] * 4 + [("fr", 100)] * 2
+    # Words that all differ are held up to a chunk's worth of them.
+    rows = [(f"l{i % 7}", " ".join(f"w{i}.{j}" for j in range(5))) for i in range(200)]
+    batches = [collocations.pd.DataFrame(rows, columns=["lang", "text"])]
+    chunks = list(collocations._chunks(iter(batches)))
+    assert max(len(chunk.number) for _, chunk in chunks) <= 100
+    assert sum(counted for _, chunk in chunks for _, counted in chunk.parts) == sum(
+        len(collocations.tokens(text)) for _, text in rows
+    )
