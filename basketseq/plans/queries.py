@@ -55,12 +55,17 @@ def query(build: Query) -> Query:
 class Model:
     """The pipeline's frames over one folder of tables, built when asked for."""
 
-    def __init__(self, spark: SparkSession, folder: str, test_items: bool = False):
+    def __init__(
+        self, spark: SparkSession, folder: str, test_items: bool = False, stored: bool = False
+    ):
+        """``stored``: orders and items are written first, for queries that read the
+        items several times; a task then holds no sorted rows of several joins."""
         self.spark, self.folder, self.test_items = spark, folder, test_items
+        self.derive = star_schema.stored_tables if stored else star_schema.star_schema_tables
 
     @functools.cached_property
     def tables(self) -> files.SourceTables:
-        return star_schema.star_schema_tables(self.spark, self.folder, self.test_items)
+        return self.derive(self.spark, self.folder, self.test_items)
 
     @property
     def orders(self) -> DataFrame:
@@ -739,7 +744,7 @@ def m5_sampled_dataset(spark, folder):
 
 @query
 def d1_join_counts(spark, folder):
-    tables = Model(spark, folder).tables
+    tables = Model(spark, folder, stored=True).tables
     return enrich.join_counts(
         enrich.joined_items(tables), enrich.all_items(tables.prior, tables.train)
     )

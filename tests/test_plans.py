@@ -3,7 +3,7 @@
 import pytest
 
 from basketseq.operators import baskets, history, training
-from basketseq.plans import jobs
+from basketseq.plans import jobs, queries
 from basketseq.sources import files
 from tests.brute import random_source
 from tests.test_sources import write_source_csv
@@ -70,3 +70,10 @@ def test_no_python_in_the_data_path(spark, stored, plan):
     products = files.read_parquet(spark, stored / "products")
     pairs = history.product_history_with_none(users, tags, products)
     assert "Python" not in plan(training.product_training(pairs, products, 2, 3, 4))
+
+
+@pytest.mark.parametrize("name", ["d1_join_counts"])
+def test_items_read_several_times_are_derived_once(spark, plan, name):
+    """Else one task sorts the rows of several joins, those of prior and train items."""
+    text = plan(queries.REGISTRY[name](spark, "/root/testdata/sf0.001"))
+    assert "Window" not in text and "l_orderkey" not in text
