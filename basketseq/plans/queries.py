@@ -31,7 +31,7 @@ from basketseq.operators import (
 from basketseq.operators.ranking import rank_in_ranges
 from basketseq.plans import jobs
 from basketseq.sources import files, star_schema
-from basketseq.sources.shared import new_folder
+from basketseq.sources.shared import materialise, new_folder
 
 # Parameters of the registered queries, shared with their SQL.
 MIN_WORD_FREQ = 256
@@ -431,8 +431,10 @@ def a3_user_sequences_with_test(spark, folder):
 @query
 def a4_declared_target(spark, folder):
     """The tagged order is the target also where it has no items."""
-    model = Model(spark, folder)
-    users = baskets.user_sequences(baskets.declared_targets(model.baskets, model.orders))
+    model = Model(spark, folder, stored=True)
+    # Read twice: as they are, and for the tagged orders that are not among them.
+    stored = materialise(model.baskets, "baskets")
+    users = baskets.user_sequences(baskets.declared_targets(stored, model.tables.orders))
     return baskets.sequence_text(users).select("user_id", "order_ids", "product_ids", "eval_set")
 
 

@@ -72,7 +72,7 @@ def test_no_python_in_the_data_path(spark, stored, plan):
     assert "Python" not in plan(training.product_training(pairs, products, 2, 3, 4))
 
 
-@pytest.mark.parametrize("name", ["d1_join_counts", "a8_row_counts"])
+@pytest.mark.parametrize("name", ["d1_join_counts", "a8_row_counts", "a4_declared_target"])
 def test_items_read_several_times_are_derived_once(spark, plan, name):
     """Else one task sorts the rows of several joins, those of prior and train items."""
     text = plan(queries.REGISTRY[name](spark, "/root/testdata/sf0.001"))
