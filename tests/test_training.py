@@ -199,3 +199,51 @@ def test_rows_move_to_their_names_unpadded(spark):
     plan = table._jdf.queryExecution().optimizedPlan().toString()
     after, _, before = plan.partition("Join LeftOuter")
     assert "AS history_length" in after and "AS history_length" not in before
+
+
+@pytest.fixture
+def no_broadcasts(spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    yield
+    spark.conf.set(key, before)
+
+
+@pytest.mark.parametrize("large_user_items", [4_000, 6, 0])
+@pytest.mark.parametrize("as_text", [True, False])
+def test_products_too_many_to_broadcast(spark, rows, no_broadcasts, as_text, large_user_items):
+    """Products come to the users: missing ones, ones listed twice, a user without id."""
+    source = brute.random_source(4)
+    tables = source_tables(spark, source)
+    users = baskets.user_sequences(baskets.order_baskets(enrich.enriched_items(tables)))
+    users = users.withColumn("user_id", F.nullif("user_id", F.lit(3)))
+    users = baskets.sequence_text(users) if as_text else users
+    products = tables.products.where("product_id <> 2")
+    products = products.unionAll(products.where("product_id < 5"))
+    tags = split_tags(tables.orders)
+    found = history.product_history(
+        users, tags, products, as_text, large_user_items=large_user_items
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 << 20))
+    joined = history.product_history(
+        users, tags, products, as_text, large_user_items=large_user_items
+    )
+    assert found.columns == joined.columns
+    assert rows(found) == rows(joined) != []
+
+
+def test_training_of_users_with_names_too_many_to_broadcast(spark, rows, no_broadcasts):
+    source = brute.random_source(4)
+    tables = source_tables(spark, source)
+    users = baskets.user_sequences(baskets.order_baskets(enrich.enriched_items(tables)))
+    products = tables.products.where("product_id <> 2")
+    products = products.unionAll(products.where("product_id = 3")).unionAll(
+        products.where("product_id = 3").withColumn("product_id", F.lit(0).cast("int"))
+    )
+    tags = split_tags(tables.orders)
+    moved = training.product_training_of_users(users, tags, products, 2, 3, 4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 << 20))
+    joined = training.product_training_of_users(users, tags, products, 2, 3, 4)
+    assert moved.columns == joined.columns
+    assert rows(moved) == rows(joined) != []
