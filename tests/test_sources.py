@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from pyspark.errors import AnalysisException
 
@@ -147,3 +149,25 @@ def test_star_schema_tables_are_stored_once(spark, rows):
         assert rows(getattr(stored, name)) == rows(getattr(lazy, name))
         plan = getattr(stored, name)._jdf.queryExecution().optimizedPlan().toString()
         assert "Join" not in plan and "Window" not in plan
+
+
+def test_shuffles_go_when_their_table_is_written(spark, tmp_path):
+    """Not only when the driver collects garbage."""
+    disk = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+
+    def shuffles():
+        names = (one.getName() for one in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(disk.getAllFiles()))
+        return {name for name in names if name.startswith("shuffle_")}
+
+    before = shuffles()
+    table = spark.range(1000).repartition(3, "id")
+    files.write_parquet(table, tmp_path / "table")
+    files.write_csv(table, tmp_path / "csv")
+    assert files.read_parquet(spark, tmp_path / "table").count() == 1000
+    deadline = time.monotonic() + 10
+    while left := {name for name in shuffles() - before if name.endswith(".data")}:
+        if time.monotonic() > deadline:
+            break
+        time.sleep(0.1)
+    # The count's own single row may still be there.
+    assert len(left) <= 1
