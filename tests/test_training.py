@@ -247,3 +247,30 @@ def test_training_of_users_with_names_too_many_to_broadcast(spark, rows, no_broa
     joined = training.product_training_of_users(users, tags, products, 2, 3, 4)
     assert moved.columns == joined.columns
     assert rows(moved) == rows(joined) != []
+
+
+@pytest.mark.parametrize("usual_pairs", [4_000, 3, 0])
+def test_stored_pairs_with_names_too_many_to_broadcast(
+    spark, rows, no_broadcasts, monkeypatch, usual_pairs
+):
+    source = brute.random_source(4)
+    tables = source_tables(spark, source)
+    users = baskets.user_sequences(baskets.order_baskets(enrich.enriched_items(tables)))
+    pairs = history.product_history_with_none(users, split_tags(tables.orders), tables.products)
+    # A user without id, products without one, and a row that comes twice.
+    pairs = pairs.withColumns(
+        {
+            "user_id": F.nullif("user_id", F.lit(3)),
+            "product_id": F.nullif("product_id", F.lit(4)),
+        }
+    ).unionAll(pairs.where("product_id = 1"))
+    products = tables.products.where("product_id <> 2")
+    products = products.unionAll(products.where("product_id = 3"))
+    monkeypatch.setattr(training, "USUAL_PAIRS", usual_pairs, raising=False)
+    by_user = training.product_training(pairs, products, 2, 3, 4)
+    shuffles = by_user._jdf.queryExecution().toString().count("hashpartitioning(user_id")
+    assert shuffles > 0
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 << 20))
+    joined = training.product_training(pairs, products, 2, 3, 4)
+    assert by_user.columns == joined.columns
+    assert rows(by_user) == rows(joined) != []
